@@ -1 +1,8 @@
 """tagloom: tag suggestion and corpus analytics for forum questions, on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,6 @@ with no explode, window or shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
@@ -43,9 +42,11 @@ _NAME = "^</?([a-zA-Z][^\\s/>]*)"
 
 def html_pieces(body: Column) -> Column:
     """Comments, elements with raw text, tags, stray ``<`` and text runs, in order."""
-    has_mark = reduce(lambda a, b: a | b, [body.contains(mark) for mark in _MARKS])
-    unmarked = F.when(has_mark, F.translate(body, _MARKS, "")).otherwise(body)
-    return F.regexp_extract_all(unmarked, F.lit(PIECES), F.lit(0))
+    return F.regexp_extract_all(_unmarked(body), F.lit(PIECES), F.lit(0))
+
+
+def _unmarked(body: Column) -> Column:
+    return F.when(body.rlike(f"[{_MARKS}]"), F.translate(body, _MARKS, "")).otherwise(body)
 
 
 # Names that count without the closing semicolon, all known names, and the Windows
@@ -56,16 +57,20 @@ _WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
 
 
 def _lookup(table: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    """A constant map: one literal that Spark folds, instead of hundreds of expressions."""
+    text = _OPEN.join(f"{key}{_NAME_END}{value}" for key, value in table.items())
+    return F.str_to_map(F.lit(text), F.lit(_OPEN), F.lit(_NAME_END))
 
 
 def _numbered(code: Column) -> Column:
     plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    windows = {n: c for n, c in _WINDOWS.items() if c}
+    windows = _lookup({n: c for n, c in _WINDOWS.items() if c})[code.cast("string")]
     invalid = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    control = code.between(1, 8) | code.isin(11, 127) | code.between(14, 31)
     return (
         F.when(invalid, F.lit("\ufffd"))
-        .when(code.isin(list(windows)), _lookup(windows)[code.cast("int")])
+        .when(control, F.lit(""))
+        .when(code.between(0x80, 0x9F) & windows.isNotNull(), windows)
         .otherwise(plain)
     )
 
@@ -92,7 +97,7 @@ def unescape(text: Column) -> Column:
                 hexadecimal != "",
                 with_rest(_numbered(F.conv(F.substr(hexadecimal, F.lit(3)), 16, 10).cast("long")), hexadecimal),
             )
-            .when(named.isin(list(_NAMES)), with_rest(_lookup(_NAMES)[named], named))
+            .when(_lookup(_NAMES)[named].isNotNull(), with_rest(_lookup(_NAMES)[named], named))
             .when(prefix != "", F.concat(_lookup(_BARE_NAMES)[prefix], F.substr(part, F.length(prefix) + 1)))
             .otherwise(F.concat(F.lit("&"), part))
         )
@@ -121,28 +126,24 @@ def _marked(piece: Column) -> Column:
     )
 
 
-def _tidy(segments: Column, keep_blank: bool, marked: bool = True) -> Column:
-    """Decode references; then strip the nodes and drop blank ones unless asked to keep them."""
-
-    def node(s: Column) -> Column:
-        text = unescape(s["text"])
-        if marked:
-            text = F.when(text.contains(_RAW_AMP), F.translate(text, _RAW_AMP, "&")).otherwise(text)
-        return F.struct(s["tag"].alias("tag"), (text if keep_blank else strip(text)).alias("text"))
-
-    return F.filter(F.transform(segments, node), lambda s: s["text"] != "")
+def _last_open(body: Column) -> Column:
+    """The marked body, decoded as a whole, then cut at opening tags and inside those at
+    the other marks. A body without any ``<`` is one text node."""
 
-
-def _last_open(pieces: Column) -> Column:
     def chunk_nodes(chunk: Column, k: Column) -> Column:
         tag = F.when(k == 0, F.lit(NO_TAG)).otherwise(F.substring_index(chunk, _NAME_END, 1))
         text = F.when(k == 0, chunk).otherwise(F.substr(chunk, F.instr(chunk, _NAME_END) + 1))
         return F.transform(
-            F.split(text, _CUT), lambda t: F.struct(tag.alias("tag"), t.alias("text"))
+            F.split(text, _CUT), lambda t: F.struct(tag.alias("tag"), _raw_decoded(t).alias("text"))
         )
 
-    marked = F.array_join(F.transform(pieces, _marked), "")
-    return F.flatten(F.transform(F.split(marked, _OPEN), chunk_nodes))
+    marked = F.array_join(F.transform(html_pieces(body), _marked), "")
+    decoded = unescape(F.when(body.contains("<"), marked).otherwise(_unmarked(body)))
+    return F.flatten(F.transform(F.split(decoded, _OPEN), chunk_nodes))
+
+
+def _raw_decoded(text: Column) -> Column:
+    return F.when(text.contains(_RAW_AMP), F.translate(text, _RAW_AMP, "&")).otherwise(text)
 
 
 def _enclosing(pieces: Column) -> Column:
@@ -168,7 +169,7 @@ def _enclosing(pieces: Column) -> Column:
             .otherwise(F.translate(marked, _CUT, ""))
         )
         tag = F.when(raw, name).otherwise(F.coalesce(F.try_element_at(stack, F.lit(-1)), F.lit(NO_TAG)))
-        node = F.struct(tag.alias("tag"), text.alias("text"))
+        node = F.struct(tag.alias("tag"), _raw_decoded(unescape(text)).alias("text"))
         return F.struct(
             pushed.alias("stack"),
             F.when(text != "", F.concat(nodes, F.array(node))).otherwise(nodes).alias("nodes"),
@@ -188,16 +189,14 @@ def html_segments(
     ``attribution='enclosing'`` gives a node to the innermost tag still open instead.
     """
     if attribution == "last_open":
-        parsed = _tidy(_last_open(html_pieces(body)), keep_blank)
+        nodes = _last_open(body)
     elif attribution == "enclosing":
-        parsed = _tidy(_enclosing(html_pieces(body)), keep_blank)
+        nodes = _enclosing(html_pieces(body))
     else:
         raise ValueError(f"unknown attribution: {attribution}")
-    plain = F.array(F.struct(F.lit(NO_TAG).alias("tag"), body.alias("text")))
-    segments = F.coalesce(
-        F.when(body.contains("<"), parsed).otherwise(_tidy(plain, keep_blank, marked=False)),
-        F.array().cast(SEGMENT_TYPE),
-    )
+    if not keep_blank:
+        nodes = F.transform(nodes, lambda s: F.struct(s["tag"].alias("tag"), strip(s["text"]).alias("text")))
+    segments = F.coalesce(F.filter(nodes, lambda s: s["text"] != ""), F.array().cast(SEGMENT_TYPE))
     if exclude_tags:
         excluded = list(exclude_tags)
         segments = F.filter(segments, lambda s: ~s["tag"].isin(excluded))

@@ -217,7 +217,8 @@ def lemma_of(token: Column, allowed_pos: Sequence[str]) -> Column:
     if blocked:
         case = case.when(token.isin(blocked), F.lit(""))
     if changed:
-        table = F.create_map(*[F.lit(word) for pair in changed for word in pair])
+        pairs = " ".join(f"{token}:{lemma}" for token, lemma in changed)
+        table = F.str_to_map(F.lit(pairs), F.lit(" "), F.lit(":"))
         case = case.when(token.isin([t for t, _ in changed]), table[token])
     return case.otherwise(suffix_lemma(token, allowed_pos))
 

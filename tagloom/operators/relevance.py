@@ -13,13 +13,17 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tagloom.operators.batches import matrix, with_batch_column
 from tagloom.operators.vectors import check_width
 
 LOSSES = ("squared_error", "hinge")
@@ -80,9 +84,9 @@ def fit_squared_error(
 ) -> TagModel:
     width = check_width(train, features)
     rows = train.count()
+    table = gram_rows(train, features, tags, classes, width).toArrow()  # bounded, see check_width
     total = np.zeros((width + len(classes), width))
-    for row in gram_rows(train, features, tags, classes, width).toLocalIterator():
-        total[row.k] = row["values"]
+    total[table.column("k").to_numpy()] = matrix(table.column("values").combine_chunks())
     left = total[:width] / rows + penalty * np.eye(width)
     weights = np.linalg.lstsq(left, total[width:].T / rows, rcond=None)[0]
     return TagModel(list(classes), weights, "squared_error")
@@ -119,16 +123,12 @@ def fit_tags(
 def predict_tags(df: DataFrame, features: str, model: TagModel, out: str = "predicted") -> DataFrame:
     """Names of the tags whose score is above 0. One matrix product per Arrow batch; the
     weights (features times tags) travel as a broadcast variable."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((model.weights, np.array(model.classes, dtype=object)))
+    shared = df.sparkSession.sparkContext.broadcast((model.weights, np.array(model.classes, dtype=object)))
 
-    @F.pandas_udf("array<string>")
-    def tags_of(x: pd.Series) -> pd.Series:
+    def tags_of(x: pa.Array) -> list:
         weights, classes = shared.value
-        if x.empty:
-            return pd.Series([], dtype=object)
-        positive = np.stack(x.to_numpy()) @ weights > 0
-        return pd.Series([list(classes[row]) for row in positive])
+        return [list(classes[row]) for row in matrix(x) @ weights > 0] if len(x) else []
 
-    scored: Column = tags_of(vector_to_array(features))
-    return df.withColumn(out, scored)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, VectorUDT)]
+    names = T.ArrayType(T.StringType())
+    return with_batch_column(df, plain, vector_to_array(features), out, names, tags_of)

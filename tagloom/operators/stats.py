@@ -69,10 +69,11 @@ def term_doc_stats(df: DataFrame, col: str) -> DataFrame:
 
 def term_doc_matrix(df: DataFrame, id_col: str, col: str, tokens: Sequence[str]) -> DataFrame:
     """The count matrix for a given, short list of tokens, one column per token."""
-    return df.select(
-        id_col,
-        *[F.size(F.filter(F.col(col), lambda x, t=t: x == t)).alias(t) for t in tokens],
-    )
+
+    def count_of(token: str) -> Column:
+        return F.size(F.filter(F.col(col), lambda x: x == token)).alias(token)
+
+    return df.select(id_col, *[count_of(t) for t in tokens])
 
 
 def most_used(df: DataFrame, col: str, n: int, stat: Stat = "doc_freq") -> DataFrame:

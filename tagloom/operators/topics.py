@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions.arrays import let
+from tagloom.operators.batches import matrix, with_batch_column
 
 DEFAULT_P = 0.95
 TOPIC_FLOOR = 0.01
 CELLS = 4_000_000  # score matrix cells that one prediction step holds
 
+TERMS_TYPE = T.ArrayType(
+    T.StructType([T.StructField("term", T.StringType()), T.StructField("prob", T.DoubleType())])
+)
+
 
 @dataclass
 class TopicModel:
@@ -130,7 +136,8 @@ def predict_terms(
     ``n_term`` best, ascending, or all with at least ``p_term``.
 
     The joined form would hold documents x topics x vocabulary rows. Here a batch of
-    topic rows meets the broadcast model in one matrix product and only the result leaves.
+    topic rows meets the broadcast model in one matrix product and only the result leaves,
+    with the other columns of ``df``.
     """
     shared = df.sparkSession.sparkContext.broadcast((np.asarray(phi, dtype=float), np.array(terms, dtype=object)))
 
@@ -148,18 +155,17 @@ def predict_terms(
         chosen = chosen[np.lexsort((-chosen, scores[chosen]))]
         return [{"term": names[j], "prob": float(scores[j])} for j in chosen]
 
-    @F.pandas_udf("array<struct<term:string,prob:double>>")
-    def terms_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matrix, names = shared.value
-        step = max(1, CELLS // max(1, matrix.shape[1]))
-        for batch in batches:
-            found: list = []
-            for begin in range(0, len(batch), step):
-                part = np.stack(batch.iloc[begin : begin + step].to_numpy())
-                found.extend(best(row, names) for row in part @ matrix)
-            yield pd.Series(found, dtype=object)
+    def terms_of(lists: pa.Array) -> list:
+        weights, names = shared.value
+        step = max(1, CELLS // max(1, weights.shape[1]))
+        shares = matrix(lists) if len(lists) else np.zeros((0, weights.shape[0]))
+        found: list = []
+        for begin in range(0, len(shares), step):
+            found.extend(best(row, names) for row in shares[begin : begin + step] @ weights)
+        return found
 
-    return df.withColumn(out, terms_of(topics))
+    kept = [c for c in df.columns if c != topics]
+    return with_batch_column(df, kept, F.col(topics), out, TERMS_TYPE, terms_of)
 
 
 def predict(
@@ -172,7 +178,7 @@ def predict(
     )
     shares = topic_distribution(df, model, "_topics")
     chosen = shares.withColumn("_topics", select_topics(F.col("_topics"), p_topic, n_topic, TOPIC_FLOOR))
-    return predict_terms(chosen, "_topics", model.phi(), model.terms, p_term, n_term, out).drop("_topics")
+    return predict_terms(chosen, "_topics", model.phi(), model.terms, p_term, n_term, out)
 
 
 def topic_terms(model: TopicModel, n: int = 10) -> DataFrame:

@@ -32,7 +32,7 @@ STOP_WORDS = merge_stop_words(default_stop_words(), FRENCH_WORDS, GERMAN_WORDS)
 KEPT_WORDS = ["the", "de", "und", "que"]
 VOCAB, SEQ_LEN, WINDOW, NEGATIVES = 4096, 10, 2, 4
 BODY_RANGE, TITLE_RANGE = (0.02, 0.4), (0.005, 1.0)
-N_TOPIC, N_TERM, P_TERM = 3, 5, 0.025
+N_TOPIC, N_TERM, P_TERM = 3, 5, 0.009
 DIM = 64
 
 

@@ -43,21 +43,20 @@ def question_extract(posts: DataFrame, limit: int = MAX_QUESTIONS) -> DataFrame:
     return kept.where(F.col("Id") <= last).select(*QUESTION_COLUMNS)
 
 
+# Blanks at the ends of a value belong to it; a quote inside is doubled.
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def load_questions(spark: SparkSession, path: str) -> DataFrame:
     """CSV extract; bodies hold newlines and quotes. One file is one task, because
     quoted newlines cannot be split: convert large extracts to parquet once."""
-    return (
-        spark.read.schema(QUESTION_SCHEMA)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    return spark.read.schema(QUESTION_SCHEMA).options(multiLine=True, **_CSV).csv(path)
 
 
 def write_questions(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(quoteAll=True, **_CSV).csv(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
