@@ -19,6 +19,16 @@ def or_empty(tokens: Column) -> Column:
     return F.coalesce(tokens, empty_strings())
 
 
+def unfolded(tokens: Column | str) -> Column:
+    """An array column on its way into ``explode``.
+
+    Given a bare column, the optimizer adds a not-empty filter and pushes it below the
+    projection that computes the array, which then runs up to three times per row. Any
+    expression around the column prevents that.
+    """
+    return F.flatten(F.array(tokens))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``.
 

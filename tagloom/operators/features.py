@@ -156,8 +156,7 @@ def document_embedding(
     weighted = array_to_vector(F.transform("_vector", lambda v: v.cast("double") * F.col("n")))
     sums = rows.groupBy(id_col).agg(Summarizer.sum(weighted).alias("_sum"))
     sums = sums.select(id_col, vector_to_array("_sum").alias("_sum"))
-    size = F.size(col)
-    longest = df.agg(F.max(size)).scalar() if denominator == "max_len" else F.col("_size")
+    size = df.agg(F.max(F.size(col))).scalar() if denominator == "max_len" else F.size(col)
     zeros = F.array_repeat(F.lit(0.0), dim)
     return (
         df.select(id_col, size.alias("_size"))
@@ -165,7 +164,7 @@ def document_embedding(
         .select(
             id_col,
             F.transform(
-                F.coalesce("_sum", zeros), lambda v: v / F.greatest(longest, F.lit(1))
+                F.coalesce("_sum", zeros), lambda v: v / F.greatest("_size", F.lit(1))
             ).alias("embedding"),
         )
     )

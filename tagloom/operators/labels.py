@@ -18,7 +18,7 @@ REST = "\x00rest"
 def label_classes(df: DataFrame, col: str, max_labels: int = MAX_LABELS) -> list[str]:
     """the sorted classes. A dense row needs them all, so their number is checked;
     beyond it use the long form ``(id, tag)``."""
-    rows = df.select(F.explode(col).alias("tag")).distinct().limit(max_labels + 1).collect()
+    rows = df.select(F.explode(F.array_distinct(col)).alias("tag")).distinct().limit(max_labels + 1).collect()
     if len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} classes: use the long form")
     return sorted(r.tag for r in rows)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.arrays import Strings
+from tagloom.functions.arrays import Strings, unfolded
 from tagloom.operators.stats import count_tokens
 from tagloom.session import materialise
 
@@ -62,7 +62,7 @@ def token_lookup(
 
 def exploded(df: DataFrame, id_col: str, col: str) -> DataFrame:
     """``(id, pos, token)``."""
-    return df.select(id_col, F.posexplode(col).alias("pos", "token"))
+    return df.select(id_col, F.posexplode(unfolded(col)).alias("pos", "token"))
 
 
 def regroup(rows: DataFrame, id_col: str, order: Sequence[str], value: str = "token") -> DataFrame:
@@ -136,7 +136,7 @@ def lemmatize_with_lexicon(
     from tagloom.functions.lemma import suffix_lemma
 
     table = lexicon.select("token", "pos", "lemma").dropDuplicates(["token"])
-    seen = df.select(F.explode(col).alias("token")).groupBy("token").agg(F.count("*").alias("_n"))
+    seen = df.select(F.explode(unfolded(col)).alias("token")).groupBy("token").agg(F.count("*").alias("_n"))
     table = table.join(seen, "token")
     known = token_lookup(
         exploded(df, id_col, col), table.withColumnRenamed("pos", "_pos"), "token",

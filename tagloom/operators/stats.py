@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tagloom.functions.arrays import run_lengths, unfolded
+
 Stat = Literal["term_count", "term_freq", "doc_count", "doc_freq"]
 PARTS = 10_000  # resolution of coverage shares
 DECILES = [k / 10 for k in range(1, 10)]
@@ -30,7 +32,7 @@ def check_stat(stat: str) -> str:
 def _counts(df: DataFrame, col: str, per_document: bool) -> DataFrame:
     """``(tokens, n)`` with map-side partial counts; duplicates inside a document are
     removed in the row, so a document count needs no distinct aggregation."""
-    tokens = F.array_distinct(col) if per_document else F.col(col)
+    tokens = F.array_distinct(col) if per_document else unfolded(col)
     return df.select(F.explode(tokens).alias("tokens")).groupBy("tokens").agg(F.count("*").alias("n"))
 
 
@@ -53,8 +55,6 @@ def count_tokens(df: DataFrame, col: str, stat: Stat) -> DataFrame:
 
 def term_doc_stats(df: DataFrame, col: str) -> DataFrame:
     """Term and document frequency of every token in one pass over in-row counts."""
-    from tagloom.functions.arrays import run_lengths
-
     pairs = df.select(F.inline(run_lengths(F.col(col))))
     counts = pairs.groupBy(F.col("token").alias("tokens")).agg(
         F.sum("n").alias("term_count"), F.count("*").alias("doc_count")

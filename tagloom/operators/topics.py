@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.functions.arrays import let
+from tagloom.functions.arrays import let, unfolded
 from tagloom.operators.batches import matrix, with_batch_column
 
 DEFAULT_P = 0.95
@@ -195,7 +195,7 @@ def topic_terms(model: TopicModel, n: int = 10) -> DataFrame:
 def topic_shares(df: DataFrame, topics: str) -> DataFrame:
     """Mean share of every topic over the documents."""
     return (
-        df.select(F.posexplode(topics).alias("topic", "share"))
+        df.select(F.posexplode(unfolded(topics)).alias("topic", "share"))
         .groupBy("topic")
         .agg(F.avg("share").alias("share"))
     )

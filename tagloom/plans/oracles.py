@@ -532,7 +532,7 @@ SELECT vec_id, {R.N_TERM} - r AS pos, term, round(prob, 6) AS prob FROM best WHE
 SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY prob, dim DESC) - 1 AS pos, term, round(prob, 6) AS prob
 FROM scores WHERE prob >= {R.P_TERM}::DOUBLE""",
     "topic_distances": f"""WITH {THETA}, {PHI}
-SELECT x.topic AS topic_a, y.topic AS topic_b,
+SELECT x.topic::BIGINT AS topic_a, y.topic::BIGINT AS topic_b,
   round(sum(x.p * ln(2 * x.p / (x.p + y.p)) + y.p * ln(2 * y.p / (x.p + y.p))) / 2, 6) AS js_divergence
 FROM phi x JOIN phi y ON x.dim = y.dim AND x.topic < y.topic GROUP BY x.topic, y.topic""",
     "topic_shares": f"WITH {THETA} SELECT topic, round(avg(share), 6) AS share FROM theta GROUP BY topic",

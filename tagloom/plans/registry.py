@@ -7,13 +7,16 @@ strings or exploded rows and floats are rounded, so that results can be compared
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions import codelang, html, text
+from tagloom.functions.arrays import unfolded
 from tagloom.functions.lemma import LEXICON, NOUN, VERB
 from tagloom.functions.stopwords import FUNCTION_WORDS, default_stop_words, merge_stop_words
 from tagloom.operators import features, labels, membership, stats, topics, vectors
@@ -53,10 +56,20 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
     return questions.document_posts(spark, sf, with_tags=False).select("Id", "Title", "Body")
 
 
+@lru_cache(maxsize=2)
+def body_word_column(context: SparkContext) -> Column:
+    """Built once per context: a Column is a tree of many small calls to the JVM."""
+    return text.body_words(body_nodes(F.col("Body")), STOP_WORDS)
+
+
+@lru_cache(maxsize=2)
+def segment_column(context: SparkContext) -> Column:
+    return html.html_segments(F.col("Body"))
+
+
 def words(spark: SparkSession, sf: str) -> DataFrame:
     """``Id, tokens``: body words without stop words."""
-    tokens = text.body_words(body_nodes(F.col("Body")), STOP_WORDS)
-    return texts(spark, sf).select("Id", tokens.alias("tokens"))
+    return texts(spark, sf).select("Id", body_word_column(spark.sparkContext).alias("tokens"))
 
 
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +78,7 @@ def tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
-    return questions.page_posts(spark, sf).select("Id", html.html_segments(F.col("Body")).alias("segments"))
+    return questions.page_posts(spark, sf).select("Id", segment_column(spark.sparkContext).alias("segments"))
 
 
 def vector_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +285,7 @@ def lookup_questions(spark, sf):
 
 def html_segments(spark, sf):
     return segments(spark, sf).select(
-        "Id", F.posexplode("segments").alias("pos", "s")
+        "Id", F.posexplode(unfolded("segments")).alias("pos", "s")
     ).select("Id", "pos", "s.tag", "s.text")
 
 
@@ -499,7 +512,7 @@ def ranked_vectors(spark, sf) -> DataFrame:
 def document_embedding(spark, sf):
     rows = materialise(words(spark, sf))
     docs = features.document_embedding(rows, "Id", "tokens", ranked_vectors(spark, sf), DIM)
-    return rounded(docs.select("Id", F.posexplode("embedding").alias("dim", "value")), "value")
+    return rounded(docs.select("Id", F.posexplode(unfolded("embedding")).alias("dim", "value")), "value")
 
 
 def embedding_features(spark, sf):
@@ -592,7 +605,7 @@ def lda_fit(spark, sf):
 def lda_topics(spark, sf):
     rows = topic_rows(spark, sf)
     model = topics.fit_topics(rows, "tokens", num_topics=10, iterations=10)
-    return topics.topic_distribution(rows, model).select("Id", F.posexplode("topics").alias("topic", "share"))
+    return topics.topic_distribution(rows, model).select("Id", F.posexplode(unfolded("topics")).alias("topic", "share"))
 
 
 def given_topics(spark, sf) -> DataFrame:
@@ -635,7 +648,7 @@ def terms_query(**rule) -> Query:
         shares = given_topics(spark, sf).select(
             "vec_id", topics.select_topics(F.col("topics"), n_topic=N_TOPIC).alias("topics"))
         found = topics.predict_terms(shares, "topics", phi, [f"w{k}" for k in range(DIM)], **rule)
-        long = found.select("vec_id", F.posexplode("terms").alias("pos", "t")).select(
+        long = found.select("vec_id", F.posexplode(unfolded("terms")).alias("pos", "t")).select(
             "vec_id", "pos", "t.term", F.col("t.prob").alias("prob"))
         return rounded(long, "prob")
 
@@ -746,8 +759,12 @@ def suggest_tags_models(spark, sf):
 
 def suggest_tags_stream_query(spark, sf):
     tags = suggest.tag_list(known_tags(spark, sf))
-    schema = questions.read_table(spark, sf, "documents").schema
-    stream = question_stream(spark, sf, schema, files="documents.parquet")
+    table = questions.read_table(spark, sf, "documents")
+    few = table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    stream = question_stream(
+        spark, sf, table.schema, files="documents.parquet",
+        partitions=spark.sparkContext.defaultParallelism if few else None, key="doc_id",
+    )
     out = scratch_path(spark, "suggested")
     query = suggest_tags_stream(
         stream, out, scratch_path(spark, "suggest-checkpoint"), STOP_WORDS, tags,

@@ -12,15 +12,18 @@ from tagloom.plans.suggest import suggest_tags
 
 
 def question_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files: str | None = None, max_files: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, files: str | None = None,
+    max_files: int | None = None, partitions: int | None = None, key: str = "Id",
 ) -> DataFrame:
-    """New parquet files below ``path``; ``files`` is a glob, ``max_files`` bounds a batch."""
+    """New parquet files below ``path``; ``files`` is a glob, ``max_files`` bounds a batch.
+    When batches are a few small files, ``partitions`` spreads them over the cores."""
     reader = spark.readStream.schema(schema)
     if files is not None:
         reader = reader.option("pathGlobFilter", files)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    stream = reader.parquet(path)
+    return stream if partitions is None else stream.repartition(partitions, key)
 
 
 def suggest_tags_stream(
