@@ -105,7 +105,7 @@ def fit_hinge(
         return model.coefficients.toArray()
 
     with ThreadPool(max(1, min(parallel, len(classes)))) as pool:
-        columns = pool.map(inheritable_thread_target(fit_one), list(classes))
+        columns = pool.map(inheritable_thread_target(train.sparkSession)(fit_one), list(classes))
     return TagModel(list(classes), np.array(columns).T, "hinge")
 
 

@@ -318,7 +318,8 @@ MIXED = f"""{CODE}, parts AS (
   FROM (SELECT *, {language_case('text')} AS b FROM segments) s
 )"""
 
-LONG_POSITIONS = "unnest({0}) AS token, generate_subscripts({0}, 1) - 1 AS pos"
+GRID_LISTS = """(SELECT DISTINCT lang AS loss FROM documents), (SELECT DISTINCT quality::BIGINT AS vect FROM labels),
+  (SELECT DISTINCT length(n_chars::VARCHAR) AS nb_tags FROM documents)"""
 
 ORACLES: dict[str, str] = {
     "question_extract": f"""WITH {POSTS}
@@ -536,12 +537,9 @@ SELECT x.topic::BIGINT AS topic_a, y.topic::BIGINT AS topic_b,
   round(sum(x.p * ln(2 * x.p / (x.p + y.p)) + y.p * ln(2 * y.p / (x.p + y.p))) / 2, 6) AS js_divergence
 FROM phi x JOIN phi y ON x.dim = y.dim AND x.topic < y.topic GROUP BY x.topic, y.topic""",
     "topic_shares": f"WITH {THETA} SELECT topic, round(avg(share), 6) AS share FROM theta GROUP BY topic",
-    "param_grid": """SELECT loss, vect, nb_tags FROM (SELECT DISTINCT source AS loss FROM documents),
-  (SELECT DISTINCT lang AS vect FROM documents), (SELECT DISTINCT length(n_chars::VARCHAR) AS nb_tags FROM documents)""",
-    "config_name": """SELECT loss, vect, nb_tags,
-  'Classifier-' || loss || '&Vect-' || vect || '&nb_tags-' || nb_tags AS name
-FROM (SELECT DISTINCT source AS loss FROM documents), (SELECT DISTINCT lang AS vect FROM documents),
-  (SELECT DISTINCT length(n_chars::VARCHAR) AS nb_tags FROM documents)""",
+    "param_grid": f"SELECT loss, vect, nb_tags FROM {GRID_LISTS}",
+    "config_name": f"""SELECT loss, vect, nb_tags,
+  'Classifier-' || loss || '&Vect-' || vect || '&nb_tags-' || nb_tags AS name FROM {GRID_LISTS}""",
     "direct_match": f"""WITH {KNOWN_TAGS}, words AS (SELECT Id, {body_words('Body')} AS tokens FROM posts),
 p AS (SELECT Id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM words)
 SELECT words.Id, coalesce(string_agg(known.token, '|' ORDER BY pos), '') AS tags

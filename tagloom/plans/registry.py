@@ -672,11 +672,13 @@ def unsupervised(spark, sf):
 
 
 def distinct_lists(spark, sf) -> DataFrame:
+    """Value lists with few members: languages, quality labels, digits of the text length."""
     docs = questions.read_table(spark, sf, "documents")
+    quality = questions.read_table(spark, sf, "labels").agg(F.collect_set("quality")).scalar()
     return docs.agg(
-        F.collect_set("lang").alias("vect"), F.collect_set(F.length(F.col("n_chars").cast("string"))).alias("nb_tags"),
-        F.collect_set("source").alias("loss"),
-    )
+        F.collect_set("lang").alias("loss"),
+        F.collect_set(F.length(F.col("n_chars").cast("string"))).alias("nb_tags"),
+    ).withColumn("vect", quality)
 
 
 def param_grid(spark, sf):
