@@ -71,11 +71,16 @@ def config_name_column(columns: Iterable[str]) -> F.Column:
 
 
 def run_settings(config: Mapping[str, Any]) -> list[tuple[str, dict]]:
-    """Every model setting with every data setting, named."""
+    """Every model setting with every data setting, under a name of its own: parameters
+    that vary but have no place in the usual name are added at its end."""
+    lists = {**config.get("model_params", {}), **config["params"]}
+    named = {key for _, key in NAME_PARTS}
+    varying = [key for key, values in lists.items() if len(values) > 1 and key not in named]
+    settings = [
+        {**m, **d} for m in param_grid(config.get("model_params", {})) for d in param_grid(config["params"])
+    ]
     return [
-        (config_name(m, d), {**m, **d})
-        for m in param_grid(config.get("model_params", {}))
-        for d in param_grid(config["params"])
+        ("&".join([config_name(s), *(f"{key}-{shown(key, s[key])}" for key in varying)]), s) for s in settings
     ]
 
 

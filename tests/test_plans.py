@@ -86,6 +86,9 @@ def test_grid():
     assert grid.param_grid({"a": [1]}, {"a": 0, "z": 5}) == [{"a": 1, "z": 5}]
     name = grid.config_name({"loss": "hinge"}, {"vect": "tfidf", "nb_tags": 50, "body_min_df": 0.0033})
     assert name == "Classifier-SVM&Vect-TfidfVectorizer&nb_tags-50&body_min_df-0.33%"
+    config = {"model_params": {"loss": ["hinge"]}, "params": {"nb_tags": [5], "scaler": [True, False], "max_iter": [9]}}
+    assert [n for n, _ in grid.run_settings(config)] == [
+        "Classifier-SVM&nb_tags-5&scaler-True", "Classifier-SVM&nb_tags-5&scaler-False"]
 
 
 @pytest.mark.parametrize("vect,scaler,fit_on", [("count", True, "all"), ("tfidf", False, "train")])
