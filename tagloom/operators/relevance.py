@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LinearSVC
@@ -28,6 +27,7 @@ from tagloom.operators.vectors import check_width
 
 LOSSES = ("squared_error", "hinge")
 PENALTY = 1e-4
+ROWS_OUT = 256  # matrix rows per Arrow batch that a task emits
 
 
 @dataclass
@@ -56,25 +56,31 @@ def gram_rows(df: DataFrame, features: str, tags: str, classes: Sequence[str], w
     """
     position = {tag: k for k, tag in enumerate(classes)}
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width + len(position), width))
         for batch in batches:
-            if batch.empty:
+            if batch.num_rows == 0:
                 continue
-            x = np.stack(batch["x"].to_numpy())
-            y = np.full((len(batch), len(position)), -1.0)
-            for row, names in enumerate(batch["tags"]):
-                for name in names:
+            x = matrix(batch.column("x"))
+            y = np.full((batch.num_rows, len(position)), -1.0)
+            for row, names in enumerate(batch.column("tags").to_pylist()):
+                for name in names or []:
                     if name in position:
                         y[row, position[name]] = 1.0
             total[:width] += x.T @ x
             total[width:] += y.T @ x
-        if total.any():
-            yield pd.DataFrame({"k": np.arange(len(total)), "v": list(total)})
+        if not total.any():
+            return
+        for begin in range(0, len(total), ROWS_OUT):
+            part = total[begin : begin + ROWS_OUT]
+            ends = np.arange(0, part.size + 1, width, dtype=np.int32)
+            rows = pa.ListArray.from_arrays(ends, part.ravel())
+            keys = pa.array(np.arange(begin, begin + len(part)))
+            yield pa.RecordBatch.from_arrays([keys, rows], names=["k", "v"])
 
     tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
     rows = df.select(vector_to_array(features).alias("x"), F.col(tags).alias("tags")).coalesce(tasks)
-    partials = rows.mapInPandas(partial, "k long, v array<double>")
+    partials = rows.mapInArrow(partial, "k long, v array<double>")
     summed = partials.groupBy("k").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
     return summed.select("k", vector_to_array("v").alias("values"))
 
