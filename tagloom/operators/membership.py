@@ -20,7 +20,7 @@ from tagloom.session import materialise
 
 MAX_BROADCAST_ROWS = 100_000
 HOT_TOKENS = 2_000
-IN_LIST = 1_000
+IN_LIST = 2_000
 
 
 def token_lookup(
