@@ -185,7 +185,11 @@ def spans_text(found: Column) -> Column:
 def secrets_digest(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every row."""
     base = F.filter("found", lambda s: s["kind"].isin(KINDS[:BASE]))
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:BASE]]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS[:BASE]]
     return scan_secrets(docs).select(
         "doc_id", *counts, F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("found")).alias("spans")
     )
