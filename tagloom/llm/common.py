@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tagloom.session import scratch_path
 
 ROWS_PER_RANK_GROUP = 50_000
+LEAST_CELLS = 16
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,7 +45,7 @@ def gapless(df: DataFrame, groups: Sequence[str], order: Sequence[Column], sprea
     numbers the rows of a cell, and a running sum over the cells' counts gives each cell its first number.
     ``rows`` is the number of rows of ``df``, from which the number of cells follows.
     """
-    cells = max(1, -(-rows // ROWS_PER_RANK_GROUP))
+    cells = max(LEAST_CELLS, -(-rows // ROWS_PER_RANK_GROUP))
     cut = df.withColumn("_cell", F.pmod(spread, F.lit(cells)))
     counts = cut.groupBy(*groups, "_cell").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
