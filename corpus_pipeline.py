@@ -1,4 +1,8 @@
-"""The training-data pipeline: documents in, packed sequences out, one stage per operator."""
+"""The training-data pipeline: documents in, packed token pieces out, one stage per operator.
+
+Every stage works on all that the stage before it kept. Its output is written to the shared folder and read again, so a lost
+executor costs one stage at most.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +10,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import packing, secrets, toxicity
+from tagloom.llm import decontaminate, jaccard_tree, packing, secrets, toxicity
 from tagloom.llm.common import read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject. All rows of an id share its verdict's rule: each is scored."""
+    """The documents that the classifier does not reject."""
     return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked texts."""
+    return jaccard_tree.keep_one_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a passage of the benchmark."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced."""
+    """All documents, their secrets replaced."""
     return secrets.redact_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents with their places in the sequences."""
+    """The token pieces of all documents with their places in the sequences."""
     return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
     ("secrets", redact_secrets),
     ("packing", pack),
 ]
