@@ -474,14 +474,13 @@ def jaccard_components(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """One row of each component, the one with the smallest id (rows without shingles all stay); all columns kept.
+    """One row of each component, the one with the smallest id; all columns kept.
 
-    Of repeated rows of the smallest id one stays. The rows to keep are found on narrow columns and joined back.
+    Rows without words and rows with a null id all stay. Of repeated rows of the smallest id one stays. The ids to keep are
+    found on narrow columns.
     """
     found = jaccard_components(docs.select("doc_id", "text"))
-    heads = found.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull() | (F.col("n_shingles") == 0))
-    heads = heads.select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(heads, docs["doc_id"].eqNullSafe(heads["_id"]), "left_semi")
-    empty = F.coalesce(F.length(F.translate("text", " \t\n\x0b\f\r", "")), F.lit(0)) == 0
-    whole = kept.where(empty | F.col("doc_id").isNull())
-    return whole.union(kept.where(~empty & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
+    heads = found.where((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0)).select("doc_id").distinct()
+    free = F.col("doc_id").isNull() | (F.coalesce(F.length(F.translate("text", " \t\n\x0b\f\r", "")), F.lit(0)) == 0)
+    kept = docs.where(~free).join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return docs.where(free).union(kept.select(*docs.columns))
