@@ -102,7 +102,7 @@ def test_quality_by_plain_python(spark):
 
 
 def test_a_rejected_host_needs_clean_documents(spark):
-    good, odd = " ".join(f"w{k}" for k in range(60)), " ".join(f"#w{k}" for k in range(60))
+    good, odd = " ".join(f"word{k}" for k in range(60)), " ".join(f"#word{k}" for k in range(60))
     rows = [(k, odd, "bad") for k in range(9)] + [(9, good, "bad")] + [(k, good, f"h{k}") for k in range(20, 40)] + [(50, odd, "h20")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r.doc_id for r in quality.quality(docs).collect() if r.kept}
