@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tagloom.functions.arrays import let, run_lengths
 from tagloom.operators.membership import exploded, token_lookup
 from tagloom.operators.stats import count_tokens, row_count
-from tagloom.session import materialise
 
 PAD, UNKNOWN = 0, 1
 
@@ -35,7 +34,7 @@ def bow_tfidf(df: DataFrame, id_col: str, col: str, fit_on: DataFrame | None = N
     that the fitted rows do not know are left out."""
     idf = inverse_doc_freq(df if fit_on is None else fit_on, col)
     pairs = token_lookup(
-        bow_counts(df, id_col, col), idf, "token", ["idf"], "doc_count", [id_col, "token"]
+        bow_counts(df, id_col, col), idf, "token", ["idf"], [id_col, "token"]
     ).where("idf is not null")
     raw = F.col("n") * F.col("idf")
     length = F.sqrt(F.sum(raw * raw).over(W.partitionBy(id_col)))
@@ -51,13 +50,15 @@ def vocabulary_ids(df: DataFrame, col: str, vocab_size: int) -> DataFrame:
 
 
 def encode_sequences(
-    df: DataFrame, id_col: str, col: str, vocab_size: int = 4096, sequence_length: int = 10
+    df: DataFrame, id_col: str, col: str, vocab_size: int = 4096, sequence_length: int | None = 10
 ) -> DataFrame:
-    """``(id, sequence)``: the first words as ids, padded with 0 to ``sequence_length``."""
-    heads = df.select(id_col, F.slice(col, 1, sequence_length).alias("_head"))
+    """``(id, sequence)``: the first words as ids, padded with 0 to ``sequence_length``; all words and no
+    padding without a length."""
+    head = F.col(col) if sequence_length is None else F.slice(col, 1, sequence_length)
+    heads = df.select(id_col, head.alias("_head"))
     rows = token_lookup(
         exploded(heads, id_col, "_head"), vocabulary_ids(df, col, vocab_size),
-        "token", ["word_id"], "term_count", [id_col, "pos"],
+        "token", ["word_id"], [id_col, "pos"],
     )
     word = F.coalesce("word_id", F.lit(UNKNOWN)).alias("word_id")
     lists = (
@@ -66,10 +67,11 @@ def encode_sequences(
         .agg(F.sort_array(F.collect_list(F.struct("pos", "word_id"))).alias("_ids"))
     )
     ids = F.coalesce(F.transform("_ids", lambda s: s["word_id"]), F.array().cast("array<int>"))
+    joined = df.select(id_col).join(lists, id_col, "left")
+    if sequence_length is None:
+        return joined.select(id_col, ids.alias("sequence"))
     padding = F.array_repeat(F.lit(PAD), sequence_length)
-    return df.select(id_col).join(lists, id_col, "left").select(
-        id_col, F.slice(F.concat(ids, padding), 1, sequence_length).alias("sequence")
-    )
+    return joined.select(id_col, F.slice(F.concat(ids, padding), 1, sequence_length).alias("sequence"))
 
 
 def keep_probability(word_id: Column, factor: float = 1e-5) -> Column:
@@ -147,12 +149,8 @@ def document_embedding(
     """
     if denominator not in ("tokens", "max_len"):
         raise ValueError(f"unknown denominator: {denominator}")
-    counts = count_tokens(df, col, "term_count")
-    known = vectors.select(F.col("word").alias("tokens"), F.col("vector").alias("_vector")).join(counts, "tokens")
-    rows = token_lookup(
-        bow_counts(df, id_col, col), known.withColumnRenamed("tokens", "token"),
-        "token", ["_vector"], "term_count", [id_col, "token"],
-    ).where("_vector is not null")
+    known = vectors.select(F.col("word").alias("token"), F.col("vector").alias("_vector"))
+    rows = token_lookup(bow_counts(df, id_col, col), known, "token", ["_vector"], [id_col, "token"]).where("_vector is not null")
     weighted = array_to_vector(F.transform("_vector", lambda v: v.cast("double") * F.col("n")))
     sums = rows.groupBy(id_col).agg(Summarizer.sum(weighted).alias("_sum"))
     sums = sums.select(id_col, vector_to_array("_sum").alias("_sum"))
@@ -175,8 +173,3 @@ def embedding_features(
 ) -> DataFrame:
     """precomputed vectors ``(id, embedding)`` beside the split ``(id, is_test, ...)``."""
     return embeddings.join(parts, id_col)
-
-
-def prepared(df: DataFrame) -> DataFrame:
-    """A feature frame that several jobs read."""
-    return materialise(df)

@@ -26,7 +26,8 @@ def label_classes(df: DataFrame, col: str, max_labels: int = MAX_LABELS) -> list
 
 def binarize(tags: Column, classes: list[str]) -> Column:
     """0/1 array in class order."""
-    return F.array(*[F.array_contains(tags, c).cast("int") for c in classes])
+    names = F.array(*[F.lit(c) for c in classes]).cast("array<string>")
+    return F.transform(names, lambda c: F.array_contains(tags, c).cast("int"))
 
 
 def unbinarize(bits: Column, classes: list[str]) -> Column:
@@ -42,9 +43,12 @@ def binarized_long(df: DataFrame, id_col: str, col: str) -> DataFrame:
     return df.select(id_col, F.explode(F.array_distinct(col)).alias("tag"))
 
 
-def label_filter(df: DataFrame, id_col: str, col: str, nb_tags: int, out: str) -> DataFrame:
-    """M2: keep only the ``nb_tags`` most used tags."""
-    return keep_tokens(df, id_col, col, most_used(df, col, nb_tags), out, "doc_freq")
+def label_filter(
+    df: DataFrame, id_col: str, col: str, nb_tags: int, out: str, fit_on: DataFrame | None = None
+) -> DataFrame:
+    """M2: keep only the ``nb_tags`` most used tags, of ``fit_on`` if given (say, the training part)."""
+    source = df if fit_on is None else fit_on
+    return keep_tokens(df, id_col, col, most_used(source, col, nb_tags), out, "doc_freq")
 
 
 def stratum(tags: Column, include: list[str] | None = None) -> Column:

@@ -2,9 +2,10 @@
 vocabularies, P12 by count, P15 with a lexicon table, A14, M18 for large tag tables.
 
 A few tokens occur in nearly every document, so a plain join on the token would send a
-large part of all rows to one task. Small tables are broadcast after their size has been
-checked. For larger ones the most frequent tokens, a fixed number, are broadcast and the
-rest is joined by shuffle; no remaining token can then hold more than a small share of rows.
+large part of all rows to one task. Small tables are broadcast after their size in bytes has
+been checked. For larger ones the most frequent tokens of the rows, a fixed number, are
+answered by a broadcast whether the table knows them or not, and the rest is joined by
+shuffle; no remaining token can then hold more than a small share of rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from tagloom.functions.arrays import Strings, unfolded
 from tagloom.operators.stats import count_tokens
 from tagloom.session import materialise
 
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
 HOT_TOKENS = 2_000
 IN_LIST = 2_000
 
@@ -28,23 +29,23 @@ def token_lookup(
     table: DataFrame,
     on: str,
     payload: Sequence[str],
-    weight: str,
     spread_by: Sequence[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     hot_tokens: int = HOT_TOKENS,
 ) -> DataFrame:
     """Left join ``rows`` with ``table`` (unique on ``on``), safe for frequent tokens.
 
-    ``weight`` is the column of ``table`` that tells how often a token occurs in ``rows``;
     ``spread_by`` are columns of ``rows`` that identify a row. Missing tokens get nulls.
     """
-    table = materialise(table.select(on, *payload, *([] if weight in payload else [weight])))
-    right = table.select(on, *payload)
-    if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    right = materialise(table.select(on, *payload))
+    size = F.length(F.to_json(F.struct(on, *payload)))
+    if (right.agg(F.sum(size)).first()[0] or 0) <= max_broadcast_bytes:
         return rows.join(F.broadcast(right), on, "left")
 
-    hot = table.orderBy(F.desc(weight), on).limit(hot_tokens)
-    hot = hot.select(on, F.struct(*payload).alias("_hot"))
+    # Counted in the rows themselves (partial sums before the shuffle): a token that the table
+    # lacks can be the most frequent one. It is carried with a null payload.
+    hot = rows.groupBy(on).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), on).limit(hot_tokens)
+    hot = materialise(hot.select(on).join(right, on, "left").select(on, F.struct(*payload).alias("_hot")))
     cold = right.join(F.broadcast(hot), on, "left_anti").select(
         F.col(on).alias("_on"), F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold")
     )
@@ -99,7 +100,7 @@ def keep_tokens(
         kept = F.coalesce(F.filter(col, test), F.array().cast(Strings))
         return df.withColumn(out, kept)
     table = vocabulary.select(F.col("tokens").alias("token"), F.col(weight).alias("_weight"))
-    rows = token_lookup(exploded(df, id_col, col), table, "token", ["_weight"], "_weight", [id_col, "pos"])
+    rows = token_lookup(exploded(df, id_col, col), table, "token", ["_weight"], [id_col, "pos"])
     rows = rows.where(F.col("_weight").isNotNull() if keep else F.col("_weight").isNull())
     return with_lists(df, id_col, regroup(rows, id_col, ["pos"]), out)
 
@@ -123,7 +124,7 @@ def filter_by_doc_freq(
 def sort_by_count(df: DataFrame, id_col: str, col: str, counts: DataFrame, count_col: str, out: str) -> DataFrame:
     """Stable sort by a count lookup, unknown tokens first (count -1)."""
     table = counts.select(F.col("tokens").alias("token"), F.col(count_col).alias("_count"))
-    rows = token_lookup(exploded(df, id_col, col), table, "token", ["_count"], "_count", [id_col, "pos"])
+    rows = token_lookup(exploded(df, id_col, col), table, "token", ["_count"], [id_col, "pos"])
     rows = rows.withColumn("_count", F.coalesce("_count", F.lit(-1)))
     return with_lists(df, id_col, regroup(rows, id_col, ["_count", "pos"]), out)
 
@@ -135,12 +136,11 @@ def lemmatize_with_lexicon(
     follow the suffix rules."""
     from tagloom.functions.lemma import suffix_lemma
 
-    table = lexicon.select("token", "pos", "lemma").dropDuplicates(["token"])
-    seen = df.select(F.explode(unfolded(col)).alias("token")).groupBy("token").agg(F.count("*").alias("_n"))
-    table = table.join(seen, "token")
+    # Of several entries of a token: an allowed part of speech first, then by name.
+    order = F.struct(~F.col("pos").isin(list(allowed_pos)), "pos", "lemma")
+    table = lexicon.groupBy("token").agg(F.min(order).alias("_e")).select("token", "_e.pos", "_e.lemma")
     known = token_lookup(
-        exploded(df, id_col, col), table.withColumnRenamed("pos", "_pos"), "token",
-        ["_pos", "lemma"], "_n", [id_col, "pos"],
+        exploded(df, id_col, col), table.withColumnRenamed("pos", "_pos"), "token", ["_pos", "lemma"], [id_col, "pos"]
     )
     lemma: Column = F.when(
         F.col("_pos").isNull(), suffix_lemma(F.col("token"), allowed_pos)

@@ -9,6 +9,7 @@ small table whatever the vocabulary size, and positions inside a tie follow by a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from typing import Literal, get_args
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from tagloom.functions.arrays import run_lengths, unfolded
 
 Stat = Literal["term_count", "term_freq", "doc_count", "doc_freq"]
-PARTS = 10_000  # resolution of coverage shares
 DECILES = [k / 10 for k in range(1, 10)]
 
 
@@ -67,8 +67,11 @@ def term_doc_stats(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def term_doc_matrix(df: DataFrame, id_col: str, col: str, tokens: Sequence[str]) -> DataFrame:
-    """The count matrix for a given, short list of tokens, one column per token."""
+def term_doc_matrix(df: DataFrame, id_col: str, col: str, tokens: Sequence[str] | None = None) -> DataFrame:
+    """The count matrix. Without ``tokens`` the whole one, one row ``(id, token, n)`` per cell that is not 0;
+    with a short list of tokens one column per token."""
+    if tokens is None:
+        return df.select(id_col, F.inline(run_lengths(F.col(col))))
 
     def count_of(token: str) -> Column:
         return F.size(F.filter(F.col(col), lambda x: x == token)).alias(token)
@@ -116,12 +119,20 @@ def _used_by_first(n: Column) -> Column:
 
 
 def _tokens_needed(share: float) -> Column:
-    """Over the histogram: the least n whose usage reaches ``share``, in whole numbers."""
-    wanted = F.col("all_sum") * F.lit(round(share * PARTS))
-    reached = (F.col("sum_before") + F.col("n") * F.col("tokens")) * PARTS >= wanted
-    missing = F.greatest(wanted - F.col("sum_before") * PARTS, F.lit(0))
-    step = F.col("n") * PARTS
-    inside = F.round((missing + F.pmod(-missing, step)) / step).cast("long")
+    """Over the histogram: the least n whose usage reaches ``share``, in whole numbers.
+
+    The share is the decimal number as written, a fraction of two integers; the sums are
+    multiplied as decimals, which neither round nor overflow.
+    """
+    top, bottom = Decimal(str(share)).as_integer_ratio()
+    whole = "decimal(38,0)"
+    wanted = F.col("all_sum").cast("decimal(19,0)") * F.lit(top).cast("decimal(19,0)")
+    before = F.col("sum_before").cast("decimal(19,0)") * F.lit(bottom).cast("decimal(19,0)")
+    step = F.col("n").cast("decimal(19,0)") * F.lit(bottom).cast("decimal(19,0)")
+    reached = before.cast(whole) + step.cast(whole) * F.col("tokens") >= wanted.cast(whole)
+    missing = F.greatest((wanted - before).cast(whole), F.lit(0).cast(whole))
+    full = F.call_function("div", missing, step.cast(whole))
+    inside = full + (full.cast("decimal(19,0)") * step < missing).cast("long")
     needed = F.greatest(F.col("rank_before") + inside, F.lit(1))
     return F.coalesce(F.min(F.when(reached, needed)), F.max("all_tokens"))
 

@@ -17,9 +17,12 @@ from pyspark.sql import types as T
 
 from tagloom.functions.arrays import let, unfolded
 from tagloom.operators.batches import matrix, with_batch_column
+from tagloom.operators.vectors import ALL_TOKENS
+from tagloom.session import materialise
 
 DEFAULT_P = 0.95
 TOPIC_FLOOR = 0.01
+LEAST_SHARE = 0.05
 CELLS = 4_000_000  # score matrix cells that one prediction step holds
 
 TERMS_TYPE = T.ArrayType(
@@ -60,15 +63,19 @@ class TopicModel:
 
 def fit_topics(
     train: DataFrame, col: str, num_topics: int = 10, passes: int = 20, chunk_size: int = 2000,
-    iterations: int | None = None, seed: int = 42, vocab_size: int = 1 << 18,
+    seed: int = 42, vocab_size: int | None = None,
 ) -> TopicModel:
-    """M6: online LDA. A step sees about ``chunk_size`` documents; ``passes`` over the
-    corpus decide the number of steps unless ``iterations`` gives it."""
-    vectorizer = CountVectorizer(inputCol=col, outputCol="counts", vocabSize=vocab_size).fit(train)
-    counts = vectorizer.transform(train).select("counts")
-    rows = max(train.count(), 1)
-    share = min(1.0, chunk_size / rows)
-    steps = iterations or math.ceil(passes / share)
+    """M6: online LDA. Every document is seen ``passes`` times in expectation.
+
+    A step sees about ``chunk_size`` documents, but at least ``LEAST_SHARE`` of the corpus, so the number
+    of steps does not grow with it. The bound on inference inside a document (``iterations`` elsewhere) is
+    Spark's own and cannot be set. All tokens are used unless ``vocab_size`` asks for the most used ones.
+    """
+    vectorizer = CountVectorizer(inputCol=col, outputCol="counts", vocabSize=vocab_size or ALL_TOKENS).fit(train)
+    counts = materialise(vectorizer.transform(train).select("counts"))
+    rows = max(counts.count(), 1)
+    share = min(1.0, max(chunk_size / rows, LEAST_SHARE))
+    steps = math.ceil(passes / share)
     lda = LDA(
         k=num_topics, featuresCol="counts", optimizer="online", maxIter=steps,
         subsamplingRate=share, seed=seed,
@@ -206,8 +213,12 @@ def topic_distances(phi: DataFrame) -> DataFrame:
 
     Joined on the term, so the work is terms x topics x topics and no pair of rows meets
     that does not share a term. Terms missing on one side are absent from the join; their
-    part is what is left of each topic's mass, times ln 2.
+    part is what is left of each topic's mass, times ln 2. The result has one row for every
+    pair of topics, also for pairs without a common term; a model has few topics.
     """
+    names = phi.agg(F.array_sort(F.collect_set("topic")).alias("names"))
+    first = names.select("names", F.explode("names").alias("topic_a"))
+    every = first.select("topic_a", F.explode("names").alias("topic_b")).where("topic_a < topic_b")
     left = phi.select("term", F.col("topic").alias("topic_a"), F.col("p").alias("a"))
     right = phi.select("term", F.col("topic").alias("topic_b"), F.col("p").alias("b"))
     pairs = left.join(right, "term").where("topic_a < topic_b")
@@ -216,6 +227,10 @@ def topic_distances(phi: DataFrame) -> DataFrame:
     def part(x: str) -> Column:
         return F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / middle)).otherwise(0.0)
 
-    shared = F.sum((part("a") + part("b")) / 2)
-    alone = (2.0 - F.sum(F.col("a") + F.col("b"))) / 2 * F.log(F.lit(2.0))
-    return pairs.groupBy("topic_a", "topic_b").agg((shared + alone).alias("js_divergence"))
+    sums = pairs.groupBy("topic_a", "topic_b").agg(
+        F.sum((part("a") + part("b")) / 2).alias("shared"), F.sum(F.col("a") + F.col("b")).alias("mass")
+    )
+    alone = (2.0 - F.coalesce("mass", F.lit(0.0))) / 2 * F.log(F.lit(2.0))
+    return every.join(sums, ["topic_a", "topic_b"], "left").select(
+        "topic_a", "topic_b", (F.coalesce("shared", F.lit(0.0)) + alone).alias("js_divergence")
+    )

@@ -21,21 +21,26 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.membership import keep_tokens
 from tagloom.operators.stats import most_used
+from tagloom.session import materialise
 
 MAX_DENSE_FEATURES = 4096
+ALL_TOKENS = (1 << 31) - 1
+SENTENCE = 1000  # Spark cuts longer lists into sentences of so many words; none is lost
 
 
 def fit_vectorizer(
-    train: DataFrame, col: str, kind: str = "count", out: str = "features", vocab_size: int = 1 << 18
+    train: DataFrame, col: str, kind: str = "count", out: str = "features", vocab_size: int | None = None
 ) -> PipelineModel:
     """count or TF-IDF vectors over ready token lists, fitted on ``train``.
 
+    All tokens of ``train`` unless ``vocab_size`` asks for the most used ones. The fitted model holds its
+    vocabulary on the driver; the long forms (``features.bow_counts``, ``features.bow_tfidf``) have no such part.
     Spark's idf lacks the added 1 and the scaling to length 1; both are added as stages.
     """
     if kind not in ("count", "tfidf"):
         raise ValueError(f"unknown vectoriser: {kind}")
     counted = out if kind == "count" else f"{out}_tf"
-    counts = CountVectorizer(inputCol=col, outputCol=counted, vocabSize=vocab_size, minDF=1.0).fit(train)
+    counts = CountVectorizer(inputCol=col, outputCol=counted, vocabSize=vocab_size or ALL_TOKENS, minDF=1.0).fit(train)
     if kind == "count":
         return PipelineModel([counts])
     idf = IDF(inputCol=counted, outputCol="idf").fit(counts.transform(train))
@@ -67,11 +72,11 @@ def fit_scaler(df: DataFrame, col: str, out: str) -> PipelineModel:
 
 
 def fit_pca(df: DataFrame, col: str, out: str, max_components: int | None = None) -> PipelineModel:
-    """Standardise, then principal components."""
+    """Standardise by the population deviation (F4), then principal components."""
     width = check_width(df, col)
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol=col, outputCol=f"{out}_scaled").fit(df)
+    scaler = fit_scaler(df, col, f"{out}_scaled")
     pca = PCA(k=min(width, max_components or width), inputCol=f"{out}_scaled", outputCol=out)
-    return PipelineModel([scaler, pca.fit(scaler.transform(df))])
+    return PipelineModel([*scaler.stages, pca.fit(scaler.transform(df))])
 
 
 def components_below(explained: list[float], level: float) -> int:
@@ -88,7 +93,7 @@ def components_below(explained: list[float], level: float) -> int:
 
 def pca_select(df: DataFrame, col: str, out: str, level: float = 0.8) -> tuple[PipelineModel | None, int]:
     """the fitted stages that keep the leading components, and how many they keep.
-    None when not even the first component stays below ``level``."""
+    None when not even the first component stays below ``level``: there is nothing to keep."""
     fitted = fit_pca(df, col, f"{out}_all")
     kept = components_below(list(fitted.stages[-1].explainedVariance), level)
     if kept == 0:
@@ -111,18 +116,20 @@ def scree_table(df: DataFrame, col: str, step: int = 5, include_last: bool = Fal
 
 
 def fit_word_vectors(
-    df: DataFrame, id_col: str, col: str, dim: int = 128, vocab_size: int = 4096, sequence_length: int = 10,
-    window: int = 2, epochs: int = 20, seed: int = 42, partitions: int = 1,
+    df: DataFrame, id_col: str, col: str, dim: int = 128, vocab_size: int = 4096, sequence_length: int | None = None,
+    window: int = 2, epochs: int = 20, seed: int = 42, partitions: int | None = None,
 ) -> Word2VecModel:
-    """skip-gram word vectors over the ``vocab_size`` most used words. The model is
-    ``vocab_size`` times ``dim`` numbers, whatever the corpus size."""
+    """skip-gram word vectors over the ``vocab_size`` most used words, from whole texts unless
+    ``sequence_length`` cuts them. The model is ``vocab_size`` times ``dim`` numbers, whatever the corpus
+    size; as many partitions as the data has train side by side and are averaged after each epoch."""
     top = most_used(df, col, vocab_size, "term_count")
     words = keep_tokens(df, id_col, col, top, "_words", "term_count").select(
         F.slice("_words", 1, sequence_length).alias("_words") if sequence_length else "_words"
     )
+    words = materialise(words)
     return Word2Vec(
-        vectorSize=dim, windowSize=window, maxSentenceLength=max(sequence_length, 1), maxIter=epochs,
-        minCount=1, seed=seed, numPartitions=partitions, inputCol="_words", outputCol="vector",
+        vectorSize=dim, windowSize=window, maxSentenceLength=sequence_length or SENTENCE, maxIter=epochs, minCount=1,
+        seed=seed, numPartitions=partitions or words.rdd.getNumPartitions(), inputCol="_words", outputCol="vector",
     ).fit(words)
 
 

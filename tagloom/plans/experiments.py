@@ -40,7 +40,8 @@ def labelled_tokens(
     """Filtered labels, split part and merged input tokens: ``(Id, truth, tokens, is_test)``,
     written once because vectoriser, fits and scoring all read it.
 
-    ``fit_on='train'`` takes labels and vocabularies from the training part only.
+    ``fit_on='train'`` takes labels and vocabularies from the training part only. The split then cannot
+    depend on the labels that are kept, so it is not stratified.
     """
     if fit_on not in ("all", "train"):
         raise ValueError(f"unknown fit_on: {fit_on}")
@@ -50,13 +51,17 @@ def labelled_tokens(
             F.col(f"`{title_tokens}`").alias("_title"),
         )
     )
-    filtered = labels.label_filter(narrow, "Id", "_tags", nb_tags, "truth")
-    key = labels.stratum(F.col("truth"))
-    if stratum_tags is not None:
-        common = [r.tokens for r in most_used(narrow, "_tags", stratum_tags).select("tokens").collect()]
-        key = labels.stratum(F.col("truth"), include=common)
-    parts = labels.split_parts(filtered, "Id", key)
-    rows = filtered.join(parts, "Id")
+    if fit_on == "train":
+        parts = labels.split_parts(narrow, "Id", None)
+        whole = materialise(narrow.join(parts, "Id"))
+        rows = labels.label_filter(whole, "Id", "_tags", nb_tags, "truth", fit_on=whole.where("not is_test"))
+    else:
+        filtered = labels.label_filter(narrow, "Id", "_tags", nb_tags, "truth")
+        key = labels.stratum(F.col("truth"))
+        if stratum_tags is not None:
+            common = [r.tokens for r in most_used(narrow, "_tags", stratum_tags).select("tokens").collect()]
+            key = labels.stratum(F.col("truth"), include=common)
+        rows = filtered.join(labels.split_parts(filtered, "Id", key), "Id")
     source = None if fit_on == "all" else materialise(rows.where("not is_test").select("Id", "_body", "_title"))
     rows = filter_by_doc_freq(rows, "Id", "_body", "_b", body_min_df, body_max_df, fit_on=source or narrow)
     rows = filter_by_doc_freq(rows, "Id", "_title", "_t", title_min_df, title_max_df, fit_on=source or narrow)
@@ -83,22 +88,30 @@ def supervised_bow(
     data: DataFrame, *, name: str = "run", nb_tags: int = 50, body_tokens: str = "body-tokens",
     title_tokens: str = "title-tokens", Y_tokens: str = "ntags", body_min_df: float = 0.0,
     body_max_df: float = 1.0, title_min_df: float = 0.0, title_max_df: float = 1.0, vect: str = "count",
-    loss: str = "hinge", max_iter: int = 50, scaler: bool = True, fit_on: str = "all",
+    loss: str = "hinge", max_iter: int = 50, scaler: bool = True, fit_on: str = "all", level: float | None = None,
 ) -> Run:
-    """M5."""
+    """M5. ``level`` keeps the principal components below that share of the variance (F5); they are
+    standardised, so ``scaler`` then changes nothing but their scale."""
     rows = labelled_tokens(
         data, nb_tags, body_tokens, title_tokens, body_min_df, body_max_df, title_min_df, title_max_df,
         Y_tokens, fit_on=fit_on,
     )
     vectorizer = vectors.fit_vectorizer(rows.where("not is_test"), "tokens", vect, "_bow")
     classes = labels.label_classes(rows, "truth")
+    features = "_bow"
+    if level is not None:
+        train = vectorizer.transform(rows.where("not is_test")).select("_bow")
+        reducer, kept = vectors.pca_select(train, "_bow", "_components", level)
+        if reducer is None:
+            raise ValueError(f"no component stays below level {level}")
+        vectorizer, features = PipelineModel([*vectorizer.stages, *reducer.stages]), "_components"
     predictions, stages, model = score_vectors(
-        vectorizer.transform(rows), "_bow", classes, loss, max_iter, scaler
+        vectorizer.transform(rows), features, classes, loss, max_iter, scaler
     )
     params = {
         "nb_tags": nb_tags, "body_tokens": body_tokens, "vect": vect, "loss": loss, "scaler": scaler,
         "body_min_df": body_min_df, "body_max_df": body_max_df,
-        "title_min_df": title_min_df, "title_max_df": title_max_df,
+        "title_min_df": title_min_df, "title_max_df": title_max_df, **({"level": level} if level is not None else {}),
     }
     fitted = PipelineModel([*vectorizer.stages, *(stages.stages if stages else [])])
     return Run(name, params, predictions, fitted, model)
@@ -128,8 +141,7 @@ def unsupervised(
     data: DataFrame, *, name: str = "lda", nb_tags: int = 50, body_tokens: str = "body-tokens",
     title_tokens: str = "title-tokens", Y_tokens: str = "ntags", body_min_df: float = 0.0,
     body_max_df: float = 1.0, title_min_df: float = 0.0, title_max_df: float = 1.0, n_term: int = 5,
-    num_topics: int = 10, nb_strat: int = 30, passes: int = 20, chunk_size: int = 2000,
-    iterations: int | None = None, seed: int = 42,
+    num_topics: int = 10, nb_strat: int = 30, passes: int = 20, chunk_size: int = 2000, seed: int = 42,
 ) -> Run:
     """Topics of the training part; the best terms of a test document are its tags."""
     rows = labelled_tokens(
@@ -137,7 +149,7 @@ def unsupervised(
         Y_tokens, stratum_tags=nb_strat, title_first=False,
     )
     model = topics.fit_topics(
-        rows.where("not is_test"), "tokens", num_topics, passes, chunk_size, iterations, seed
+        rows.where("not is_test"), "tokens", num_topics, passes, chunk_size, seed
     )
     found = topics.predict(rows.where("is_test"), model, n_term=n_term)
     predicted = F.transform("terms", lambda t: t["term"]).alias("predicted")

@@ -46,14 +46,17 @@ def grid_frame(lists: DataFrame, columns: Sequence[str]) -> DataFrame:
     return grid.select(*columns)
 
 
-def shown(key: str, value: Any) -> Any:
-    """A parameter value as it appears in names and tables."""
+NAME_DIGITS, TABLE_DIGITS = 3, 4
+
+
+def shown(key: str, value: Any, digits: int = NAME_DIGITS) -> Any:
+    """A parameter value as it appears in names and, with more digits, in tables."""
     if key == "loss":
         return LOSS_NAMES.get(value, value)
     if key == "vect":
         return VECTORIZER_NAMES.get(value, value)
     if key in SHARES:
-        return f"{round(100 * value, 3)}%"
+        return f"{round(100 * value, digits)}%"
     return value
 
 
@@ -64,9 +67,18 @@ def config_name(*settings: Mapping[str, Any]) -> str:
 
 
 def config_name_column(columns: Iterable[str]) -> F.Column:
-    """M14 on a grid frame, for values that need no mapping."""
+    """M14 on a grid frame, with the names of losses and vectorisers and shares as percentages."""
     present = set(columns)
-    parts = [F.concat(F.lit(f"{label}-"), F.col(key).cast("string")) for label, key in NAME_PARTS if key in present]
+
+    def named(key: str) -> F.Column:
+        value = F.col(key).cast("string")
+        if key in SHARES:
+            return F.concat(F.round(100 * F.col(key).cast("double"), NAME_DIGITS).cast("string"), F.lit("%"))
+        for old, new in {"loss": LOSS_NAMES, "vect": VECTORIZER_NAMES}.get(key, {}).items():
+            value = F.when(F.col(key).cast("string") == old, new).otherwise(value)
+        return value
+
+    parts = [F.concat(F.lit(f"{label}-"), named(key)) for label, key in NAME_PARTS if key in present]
     return F.concat_ws("&", *parts)
 
 
@@ -89,7 +101,7 @@ def result_row(run: Run) -> DataFrame:
     p = run.params
     spark = run.predictions.sparkSession
     score = run.score().first()[0]
-    known = [str(shown(k, p[k])) if k in p else "N.A" for k in SHARES]
+    known = [str(shown(k, p[k], TABLE_DIGITS)) if k in p else "N.A" for k in SHARES]
     row = (
         shown("loss", p["loss"]), shown("vect", p["vect"]), str(p["nb_tags"]), p.get("body_tokens", "N.A"),
         *known, score, bool(p["scaler"]),

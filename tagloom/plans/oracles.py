@@ -198,9 +198,15 @@ SEQUENCES = f"""{RANKED}, ids AS (
   SELECT heads.Id, heads.pos, coalesce(ids.word_id, 1) AS word_id FROM heads LEFT JOIN ids USING (token)
 )"""
 
-SKIPGRAMS = f"""{SEQUENCES}, grams AS (
-  SELECT a.Id, a.pos, b.pos AS context_pos, a.word_id AS target, b.word_id AS context
-  FROM coded a JOIN coded b ON a.Id = b.Id AND a.pos <> b.pos AND abs(a.pos - b.pos) <= {R.WINDOW}
+SKIPGRAMS = f"""{RANKED}, ids AS (
+  SELECT token, term_rank + 1 AS word_id FROM ranked WHERE term_rank <= {R.VOCAB - 2}
+), whole AS (SELECT Id, unnest(tokens) AS token, generate_subscripts(tokens, 1) - 1 AS pos FROM words),
+coded AS (SELECT whole.Id, whole.pos, coalesce(ids.word_id, 1) AS word_id FROM whole LEFT JOIN ids USING (token)),
+steps AS (SELECT unnest(range(-{R.WINDOW}, {R.WINDOW} + 1)) AS step),
+around AS (SELECT Id, pos, pos + step AS context_pos, word_id AS target FROM coded, steps WHERE step <> 0),
+grams AS (
+  SELECT a.Id, a.pos, a.context_pos, a.target, b.word_id AS context
+  FROM around a JOIN coded b ON a.Id = b.Id AND b.pos = a.context_pos
 )"""
 
 
@@ -263,7 +269,7 @@ TERM_SCORES = f"""{THETA}, {PHI}, scores AS (
 
 KNOWN_TAGS = f"""{POSTS}, title_lists AS (SELECT Id, {title_words('Title')} AS tokens FROM posts),
 title_occ AS (SELECT DISTINCT Id, unnest(tokens) AS token FROM title_lists),
-known AS (SELECT token FROM title_occ GROUP BY token ORDER BY count(*) DESC, token LIMIT 300)"""
+known AS (SELECT token FROM title_occ GROUP BY token)"""
 
 SUGGESTED = f"""WITH {KNOWN_TAGS},
 body_lists AS (SELECT Id, {body_words('Body')} AS tokens FROM posts),
@@ -393,7 +399,7 @@ FROM every LEFT JOIN pairs ON pairs.Id = every.Id LEFT JOIN lemmas ON lemmas.w =
 SELECT Id, Title || '. ' || body AS question,
   lower(Title || '. ' || replace(replace(body, chr(10), ' '), '"', ' ')) AS input FROM stripped""",
     "tags_bitmask": f"""WITH {TAGGED}, {bits_case(
-        "SELECT tag FROM (SELECT tag, count(DISTINCT Id) AS c FROM tags GROUP BY tag ORDER BY c DESC, tag LIMIT 20)")}
+        "SELECT tag FROM (SELECT tag, count(DISTINCT Id) AS c FROM tags GROUP BY tag ORDER BY c DESC, tag LIMIT 63)")}
 SELECT Id, sum(CASE WHEN hit THEN (2 ** (n - k))::BIGINT ELSE 0 END)::BIGINT AS mask FROM marked GROUP BY Id""",
     "lookup_questions": f"""WITH {POSTS} SELECT Id, Title, Score FROM posts WHERE Id IN (0, 7, 42, 99, 150)""",
     "html_segments": f"WITH {SEGMENTS} SELECT Id, pos, tag, text FROM segments",
@@ -422,10 +428,7 @@ FROM every LEFT JOIN code ON code.Id = every.Id GROUP BY every.Id""",
     "doc_freq": f"WITH {WORDS} SELECT token AS tokens, round(doc_freq, 6) AS doc_freq FROM tf",
     "term_doc_stats": f"""WITH {WORDS}
 SELECT token AS tokens, round(term_freq, 6) AS term_freq, round(doc_freq, 6) AS doc_freq FROM tf""",
-    "term_doc_matrix": f"""WITH {WORDS} SELECT words.Id,
-  count(*) FILTER (WHERE token = 'thed') AS thed, count(*) FILTER (WHERE token = 'onthe') AS onthe,
-  count(*) FILTER (WHERE token = 'ander') AS ander, count(*) FILTER (WHERE token = 'ouque') AS ouque
-FROM words LEFT JOIN occ ON occ.Id = words.Id GROUP BY words.Id""",
+    "term_doc_matrix": f"WITH {WORDS} SELECT Id, token, count(*) AS n FROM occ GROUP BY Id, token",
     "top_tokens": f"""WITH {WORDS}
 SELECT token AS tokens, round(doc_freq, 6) AS doc_freq FROM tf ORDER BY doc_count DESC, token LIMIT 20""",
     "bottom_tokens": f"""WITH {WORDS}
@@ -436,6 +439,11 @@ UNION ALL
 SELECT 'doc', round(sum(doc_count) FILTER (WHERE doc_rank <= 100) / any_value(doc_total), 6) FROM ranked""",
     "tokens_for_coverage": f"""WITH {RANKED}
 SELECT min(term_rank) AS n_tokens FROM ranked WHERE term_sum * 2 >= term_total""",
+    "tokens_for_coverage_uneven": f"WITH {RANKED} " + " UNION ALL ".join(
+        f"SELECT '{share} {stat}_freq' AS kind, min({stat}_rank) AS n_tokens FROM ranked "
+        f"WHERE {stat}_sum::DECIMAL(20,0) >= {share:.6f}::DECIMAL(8,6) * {stat}_total::DECIMAL(20,0)"
+        for share in R.UNEVEN_SHARES for stat in ("term", "doc")
+    ),
     "coverage_table": f"""WITH {RANKED}, {coverage_sizes('term')}
 SELECT size AS n_most_used,
   round((SELECT sum(term_count) FROM ranked WHERE term_rank <= size) / (SELECT any_value(term_total) FROM ranked), 6)
@@ -500,10 +508,10 @@ SELECT Id, pos, context_pos, target, context FROM chances
 WHERE {uniform("'42|' || Id || '|' || pos")} < least(1.0, f / sqrt(f))""",
     "document_embedding": f"""WITH {RANKED}, vecs AS (
   SELECT token, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS dim
-  FROM ranked JOIN embeddings ON vec_id = term_rank - 1 WHERE term_rank <= 500
+  FROM ranked JOIN embeddings ON vec_id = term_rank - 1
 ), sums AS (SELECT Id, dim, sum(v) AS s FROM occ JOIN vecs USING (token) GROUP BY Id, dim),
 grid AS (SELECT Id, greatest(len(tokens), 1) AS n, g.dim FROM words, range({R.DIM}) g(dim))
-SELECT grid.Id, grid.dim, round(coalesce(s, 0.0) / n, 6) AS value
+SELECT grid.Id, grid.dim, round(coalesce(s, 0.0) / n, 6) + 0.0 AS value
 FROM grid LEFT JOIN sums ON sums.Id = grid.Id AND sums.dim = grid.dim""",
     "embedding_features": f"""WITH {split(TAGGED + ", rows_ AS (SELECT Id, ntags, array_to_string(list_sort(ntags), '_') AS key_ FROM tagged)", 'key_')}
 SELECT parts.Id, is_test, array_to_string(ntags, '|') AS tags,
@@ -536,10 +544,37 @@ FROM scores WHERE prob >= {R.P_TERM}::DOUBLE""",
 SELECT x.topic::BIGINT AS topic_a, y.topic::BIGINT AS topic_b,
   round(sum(x.p * ln(2 * x.p / (x.p + y.p)) + y.p * ln(2 * y.p / (x.p + y.p))) / 2, 6) AS js_divergence
 FROM phi x JOIN phi y ON x.dim = y.dim AND x.topic < y.topic GROUP BY x.topic, y.topic""",
+    "topic_distances_sparse": f"""WITH {THETA}, {PHI}, few AS (
+  SELECT topic, dim, p / sum(p) OVER (PARTITION BY topic) AS p FROM phi WHERE dim % 10 = topic OR dim % 16 = topic
+), grid AS (
+  SELECT x.topic AS topic_a, y.topic AS topic_b, d.dim, coalesce(f.p, 0) AS a, coalesce(g.p, 0) AS b
+  FROM (SELECT DISTINCT topic FROM few) x JOIN (SELECT DISTINCT topic FROM few) y ON x.topic < y.topic
+  CROSS JOIN range({R.DIM}) d(dim) LEFT JOIN few f ON f.topic = x.topic AND f.dim = d.dim
+  LEFT JOIN few g ON g.topic = y.topic AND g.dim = d.dim
+)
+SELECT topic_a::BIGINT AS topic_a, topic_b::BIGINT AS topic_b,
+  round(sum((CASE WHEN a > 0 THEN a * ln(2 * a / (a + b)) ELSE 0 END + CASE WHEN b > 0 THEN b * ln(2 * b / (a + b)) ELSE 0 END) / 2), 6)
+    AS js_divergence FROM grid GROUP BY topic_a, topic_b""",
     "topic_shares": f"WITH {THETA} SELECT topic, round(avg(share), 6) AS share FROM theta GROUP BY topic",
     "param_grid": f"SELECT loss, vect, nb_tags FROM {GRID_LISTS}",
     "config_name": f"""SELECT loss, vect, nb_tags,
   'Classifier-' || loss || '&Vect-' || vect || '&nb_tags-' || nb_tags AS name FROM {GRID_LISTS}""",
+    "config_name_mapped": f"""WITH lists AS (SELECT loss, vect, nb_tags FROM {GRID_LISTS}), mapped AS (
+  SELECT DISTINCT CASE WHEN loss < 'es' THEN 'hinge' ELSE 'squared_error' END AS loss,
+    CASE WHEN vect = 1 THEN 'count' ELSE 'tfidf' END AS vect, nb_tags FROM lists
+), grid AS (SELECT mapped.*, o.nb_tags AS m FROM mapped, (SELECT DISTINCT nb_tags FROM lists) o)
+SELECT loss, vect, nb_tags, 'Classifier-' || CASE loss WHEN 'hinge' THEN 'SVM' ELSE loss END || '&Vect-'
+  || CASE vect WHEN 'count' THEN 'CountVectorizer' ELSE 'TfidfVectorizer' END || '&nb_tags-' || nb_tags
+  || '&body_min_df-' || round(100 * (m * 0.01234567::DOUBLE), 3)::DOUBLE::VARCHAR || '%' AS name FROM grid""",
+    "negative_samples": f"""WITH {SKIPGRAMS}, drawn AS (
+  SELECT *, list_concat(list_transform(range(1, {4 * R.NEGATIVES} + 1), lambda j:
+      (floor(exp((('0x' || substr(md5('42|' || Id || '|' || pos || '|' || context_pos || '|' || j), 1, 8))::BIGINT
+        / 4294967296.0::DOUBLE) * ln({R.VOCAB + 1}::DOUBLE))) - 1)::BIGINT), range(0, {R.NEGATIVES} + 1)) AS l FROM grams
+), others AS (
+  SELECT *, list_filter(l, lambda x, i: x <> context AND list_position(l, x) = i)[1:{R.NEGATIVES}] AS o FROM drawn
+)
+SELECT Id, pos, context_pos, target, array_to_string(list_prepend(context, o), '|') AS contexts,
+  '1{'|0' * R.NEGATIVES}' AS labels FROM others""",
     "direct_match": f"""WITH {KNOWN_TAGS}, words AS (SELECT Id, {body_words('Body')} AS tokens FROM posts),
 p AS (SELECT Id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM words)
 SELECT words.Id, coalesce(string_agg(known.token, '|' ORDER BY pos), '') AS tags

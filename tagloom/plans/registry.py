@@ -36,6 +36,7 @@ KEPT_WORDS = ["the", "de", "und", "que"]
 VOCAB, SEQ_LEN, WINDOW, NEGATIVES = 4096, 10, 2, 4
 BODY_RANGE, TITLE_RANGE = (0.02, 0.4), (0.005, 1.0)
 N_TOPIC, N_TERM, P_TERM = 3, 5, 0.009
+UNEVEN_SHARES = [0.33334, 0.99996, 0.123457]
 DIM = 64
 
 
@@ -270,7 +271,7 @@ def question_text(spark, sf):
 
 def tags_bitmask(spark, sf):
     rows = materialise(tagged(spark, sf))
-    classes = [r.tokens for r in stats.most_used(rows, "ntags", 20).collect()]
+    classes = [r.tokens for r in stats.most_used(rows, "ntags", 63).collect()]  # what a 64-bit mask holds
     return rows.select("Id", text.tags_bitmask(labels.binarize(F.col("ntags"), sorted(classes))).alias("mask"))
 
 
@@ -347,7 +348,7 @@ def term_doc_stats(spark, sf):
 
 
 def term_doc_matrix(spark, sf):
-    return stats.term_doc_matrix(words(spark, sf), "Id", "tokens", ["thed", "onthe", "ander", "ouque"])
+    return stats.term_doc_matrix(words(spark, sf), "Id", "tokens")
 
 
 def top_tokens(spark, sf):
@@ -371,6 +372,18 @@ def tokens_for_coverage(spark, sf):
     return stats.tokens_for_coverage(words(spark, sf), "tokens", 0.5)
 
 
+def tokens_for_coverage_uneven(spark, sf):
+    rows = words(spark, sf)
+    tables = [
+        stats.tokens_for_coverage(rows, "tokens", share, stat).select(F.lit(f"{share} {stat}").alias("kind"), "n_tokens")
+        for share in UNEVEN_SHARES for stat in ("term_freq", "doc_freq")
+    ]
+    union = tables[0]
+    for table in tables[1:]:
+        union = union.unionByName(table)
+    return union
+
+
 def coverage_table(spark, sf):
     table = stats.coverage_table(words(spark, sf), "tokens", [100, 500, 1000])
     return rounded(table, "cumulative_term_freq", "doc_coverage")
@@ -460,6 +473,8 @@ def pca_select(spark, sf):
         "vec_id", array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("v")
     )
     model, kept = vectors.pca_select(rows, "v", "z", 0.8)
+    if model is None:
+        return rows.select("vec_id", F.lit(0).alias("kept"), F.array().cast("array<double>").alias("components"))
     return model.transform(rows).select("vec_id", F.lit(kept).alias("kept"), vector_to_array("z").alias("components"))
 
 
@@ -478,16 +493,21 @@ def encode_sequences(spark, sf):
     return sequences(spark, sf).select("Id", joined(F.col("sequence").cast("array<string>")).alias("sequence"))
 
 
+def whole_sequences(spark, sf) -> DataFrame:
+    """All words of every text as ids."""
+    return features.encode_sequences(words(spark, sf), "Id", "tokens", VOCAB, None)
+
+
 def skipgram_pairs(spark, sf):
-    return features.skipgram_pairs(sequences(spark, sf), "Id", "sequence", WINDOW)
+    return features.skipgram_pairs(whole_sequences(spark, sf), "Id", "sequence", WINDOW)
 
 
 def skipgram_pairs_sampled(spark, sf):
-    return features.skipgram_pairs(sequences(spark, sf), "Id", "sequence", WINDOW, seed=42, factor=1e-3)
+    return features.skipgram_pairs(whole_sequences(spark, sf), "Id", "sequence", WINDOW, seed=42, factor=1e-3)
 
 
 def negative_samples(spark, sf):
-    pairs = features.skipgram_pairs(sequences(spark, sf), "Id", "sequence", WINDOW)
+    pairs = features.skipgram_pairs(whole_sequences(spark, sf), "Id", "sequence", WINDOW)
     rows = features.negative_samples(pairs, "Id", NEGATIVES, VOCAB, 42)
     return rows.select(
         "Id", "pos", "context_pos", "target", joined(F.col("contexts").cast("array<string>")).alias("contexts"),
@@ -496,15 +516,13 @@ def negative_samples(spark, sf):
 
 
 def word_embeddings(spark, sf):
-    model = vectors.fit_word_vectors(
-        words(spark, sf), "Id", "tokens", dim=16, vocab_size=512, sequence_length=SEQ_LEN, window=WINDOW, epochs=2
-    )
+    model = vectors.fit_word_vectors(words(spark, sf), "Id", "tokens", vocab_size=VOCAB, window=WINDOW)
     return vectors.word_vectors(model)
 
 
 def ranked_vectors(spark, sf) -> DataFrame:
     """The given embeddings as word vectors: the k-th used word gets vector k."""
-    ids = features.vocabulary_ids(words(spark, sf), "tokens", 502)
+    ids = features.vocabulary_ids(words(spark, sf), "tokens", vector_rows(spark, sf).count() + 2)
     rows = vector_rows(spark, sf).select((F.col("vec_id") + 2).cast("int").alias("word_id"), "embedding")
     return ids.join(rows, "word_id").select(F.col("token").alias("word"), F.col("embedding").alias("vector"))
 
@@ -512,7 +530,8 @@ def ranked_vectors(spark, sf) -> DataFrame:
 def document_embedding(spark, sf):
     rows = materialise(words(spark, sf))
     docs = features.document_embedding(rows, "Id", "tokens", ranked_vectors(spark, sf), DIM)
-    return rounded(docs.select("Id", F.posexplode(unfolded("embedding")).alias("dim", "value")), "value")
+    long = rounded(docs.select("Id", F.posexplode(unfolded("embedding")).alias("dim", "value")), "value")
+    return long.withColumn("value", F.col("value") + 0.0)  # no negative zero
 
 
 def embedding_features(spark, sf):
@@ -598,13 +617,13 @@ def topic_rows(spark, sf) -> DataFrame:
 
 def lda_fit(spark, sf):
     rows = topic_rows(spark, sf)
-    model = topics.fit_topics(rows, "tokens", num_topics=10, iterations=10)
+    model = topics.fit_topics(rows, "tokens", num_topics=10)
     return topics.topic_terms(model, 10)
 
 
 def lda_topics(spark, sf):
     rows = topic_rows(spark, sf)
-    model = topics.fit_topics(rows, "tokens", num_topics=10, iterations=10)
+    model = topics.fit_topics(rows, "tokens", num_topics=10)
     return topics.topic_distribution(rows, model).select("Id", F.posexplode(unfolded("topics")).alias("topic", "share"))
 
 
@@ -659,6 +678,14 @@ def topic_summary(spark, sf):
     return rounded(topics.topic_distances(given_phi(spark, sf)), "js_divergence")
 
 
+def topic_distances_sparse(spark, sf):
+    """Topics that hold few terms each, so that many pairs have none in common."""
+    few = given_phi(spark, sf).where("dim % 10 = topic or dim % 16 = topic")
+    total = few.groupBy("topic").agg(F.sum("p").alias("all"))
+    rows = few.join(total, "topic").select("topic", "term", (F.col("p") / F.col("all")).alias("p"))
+    return rounded(topics.topic_distances(rows), "js_divergence")
+
+
 def topic_share(spark, sf):
     return rounded(topics.topic_shares(given_topics(spark, sf), "topics"), "share")
 
@@ -666,7 +693,7 @@ def topic_share(spark, sf):
 def unsupervised(spark, sf):
     run = experiments.unsupervised(
         prepared_questions(spark, sf), nb_tags=20, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
-        title_min_df=TITLE_RANGE[0], title_max_df=TITLE_RANGE[1], num_topics=10, iterations=10,
+        title_min_df=TITLE_RANGE[0], title_max_df=TITLE_RANGE[1], num_topics=10,
     )
     return run.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
 
@@ -690,6 +717,17 @@ def config_name(spark, sf):
     return rows.select("*", grid.config_name_column(rows.columns).alias("name"))
 
 
+def config_name_mapped(spark, sf):
+    """Run names with real losses, vectorisers and percentages, chosen by what the tables hold."""
+    lists = distinct_lists(spark, sf).select(
+        F.array_distinct(F.transform("loss", lambda x: F.when(x < "es", "hinge").otherwise("squared_error"))).alias("loss"),
+        F.array_distinct(F.transform("vect", lambda x: F.when(x == 1, "count").otherwise("tfidf"))).alias("vect"),
+        "nb_tags", F.transform("nb_tags", lambda x: x * F.lit(0.01234567)).alias("body_min_df"),
+    )
+    rows = grid.grid_frame(lists, ["loss", "vect", "nb_tags", "body_min_df"])
+    return rows.select("loss", "vect", "nb_tags", grid.config_name_column(rows.columns).alias("name"))
+
+
 def grid_config(nb_tags=(5, 10)) -> dict:
     return {
         "type": "embedding",
@@ -727,14 +765,14 @@ def model_store(spark, sf):
 
 def predict_unsupervised(spark, sf):
     rows = topic_rows(spark, sf)
-    model = topics.fit_topics(rows, "tokens", num_topics=10, iterations=5)
+    model = topics.fit_topics(rows, "tokens", num_topics=10)
     return suggest.predict_unsupervised(rows, model).select("Id", joined("unsupervised").alias("tags"))
 
 
 def known_tags(spark, sf) -> DataFrame:
-    """A tag table for the fixtures: the 300 most used title words."""
+    """A tag table for the fixtures: all title words."""
     titles = texts(spark, sf).select(text.title_words(F.col("Title"), STOP_WORDS).alias("tags"))
-    return stats.most_used(titles, "tags", 300)
+    return stats.count_tokens(titles, "tags", "doc_freq")
 
 
 def direct_match(spark, sf):
@@ -751,7 +789,7 @@ def suggest_tags(spark, sf):
 def suggest_tags_models(spark, sf):
     """All three predictions."""
     run = bow_run(spark, sf, vect="tfidf", loss="squared_error", scaler=False)
-    model = topics.fit_topics(topic_rows(spark, sf), "tokens", num_topics=10, iterations=5)
+    model = topics.fit_topics(topic_rows(spark, sf), "tokens", num_topics=10)
     tags = suggest.tag_list(known_tags(spark, sf))
     found = suggest.suggest_tags(
         texts(spark, sf), STOP_WORDS, tags, (run.vectorizer, run.model), model, n_term=3
@@ -831,6 +869,7 @@ QUERIES: dict[str, Query] = {
     "bottom_tokens": bottom_tokens,
     "tokens_usage": tokens_usage,
     "tokens_for_coverage": tokens_for_coverage,
+    "tokens_for_coverage_uneven": tokens_for_coverage_uneven,
     "coverage_table": coverage_table,
     "corpus_stats": corpus_stats,
     "rank_lookup": rank_lookup,
@@ -869,10 +908,12 @@ QUERIES: dict[str, Query] = {
     "predict_terms_n": terms_query(n_term=N_TERM),
     "predict_terms_p": terms_query(p_term=P_TERM),
     "topic_distances": topic_summary,
+    "topic_distances_sparse": topic_distances_sparse,
     "topic_shares": topic_share,
     "unsupervised": unsupervised,
     "param_grid": param_grid,
     "config_name": config_name,
+    "config_name_mapped": config_name_mapped,
     "run_grid": run_grid,
     "results_table": results_table,
     "predict_unsupervised": predict_unsupervised,

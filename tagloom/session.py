@@ -50,16 +50,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage once and continue from there.
+    """Write ``df`` to the shared folder once and continue from there.
 
     Used where a result feeds several jobs (a size check and then a join, or the
-    iterations of a model fit). The written copy survives the loss of executors.
+    iterations of a model fit). The written copy survives the loss of executors; as
+    Parquet it keeps column pruning, filters and size statistics for what reads it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -76,10 +76,50 @@ def test_lookup_beyond_the_broadcast_limit(spark):
     rows = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 400)).alias("token"))
     seen = rows.groupBy("token").agg(F.count("*").alias("n"))
-    table = seen.where("token <> 't7'").select("token", "n", F.upper("token").alias("big"))
-    got = membership.token_lookup(rows, table, "token", ["big"], "n", ["id"], max_broadcast_rows=5, hot_tokens=3)
-    plain = rows.join(table.select("token", "big"), "token", "left").select("id", "token", "big")
-    assert sorted(got.select("id", "token", "big").collect(), key=str) == sorted(plain.collect(), key=str)
+    for missing in ("t7", "hot"):  # the most frequent token can be one that the table lacks
+        table = seen.where(F.col("token") != missing).select("token", F.upper("token").alias("big"))
+        got = membership.token_lookup(rows, table, "token", ["big"], ["id"], max_broadcast_bytes=5, hot_tokens=3)
+        plain = rows.join(table, "token", "left").select("id", "token", "big")
+        assert sorted(got.select("id", "token", "big").collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_hot_tokens_are_spread_whether_the_table_has_them_or_not(spark):
+    rows = spark.range(40_000).select(
+        "id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 4000)).alias("token"))
+    everything = rows.select("token").distinct().select("token", F.upper("token").alias("big"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for table in (everything, everything.where("token <> 'hot'")):
+            got = membership.token_lookup(rows, table, "token", ["big"], ["id"], max_broadcast_bytes=5, hot_tokens=3)
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert sum(sizes) == 40_000 and max(sizes) < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_coverage_of_uneven_shares(spark):
+    df = spark.range(30_001).select(F.col("id").alias("Id"), F.array(F.col("id").cast("string")).alias("tokens"))
+    for share, n in ((0.33334, 10_001), (0.99996, 30_000), (0.5, 15_001), (1.0, 30_001)):
+        assert stats.tokens_for_coverage(df, "tokens", share).first().n_tokens == n
+
+
+def test_topics_without_a_common_term(spark):
+    rows = [(0, "a", 1.0), (1, "b", 1.0), (2, "a", 0.5), (2, "b", 0.5)]
+    got = {(r.topic_a, r.topic_b): r.js_divergence for r in
+           topics.topic_distances(spark.createDataFrame(rows, "topic int, term string, p double")).collect()}
+    assert set(got) == {(0, 1), (0, 2), (1, 2)} and got[(0, 1)] == pytest.approx(math.log(2))
+
+
+def test_lexicon_with_two_entries_of_a_token(spark):
+    docs = spark.createDataFrame([(1, ["leaves"])], "Id long, tokens array<string>")
+    entries = [("leaves", "VERB", "leave"), ("leaves", "NOUN", "leaf"), ("leaves", "NOUN", "leafs")]
+    for order in (entries, entries[::-1]):
+        lexicon = spark.createDataFrame(order, "token string, pos string, lemma string")
+        for allowed, lemma in ((["NOUN"], "leaf"), (["VERB"], "leave")):
+            got = membership.lemmatize_with_lexicon(docs, "Id", "tokens", lexicon, allowed, "o").first().o
+            assert got == [lemma]
 
 
 def test_sort_by_count_is_stable(spark):
@@ -223,7 +263,7 @@ def test_terms_per_document(spark):
 def test_topic_model(spark, tmp_path):
     docs = [["sun", "rain", "wind"] * 4, ["cat", "dog", "cow"] * 4] * 15
     df = materialise(spark.createDataFrame(list(enumerate(docs)), "Id long, tokens array<string>"))
-    model = topics.fit_topics(df, "tokens", num_topics=2, iterations=20)
+    model = topics.fit_topics(df, "tokens", num_topics=2, passes=20)
     shares = topics.topic_distribution(df, model)
     assert all(sum(r.topics) == pytest.approx(1) for r in shares.collect())
     np.testing.assert_allclose(model.phi().sum(axis=1), 1)

@@ -106,7 +106,7 @@ def test_supervised_run_and_serving(spark, asked, tmp_path, vect, scaler, fit_on
 
 
 def test_unsupervised_run(asked):
-    run = experiments.unsupervised(processed_questions(asked), nb_tags=7, num_topics=3, iterations=5, n_term=4, title_max_df=1.1)
+    run = experiments.unsupervised(processed_questions(asked), nb_tags=7, num_topics=3, passes=5, n_term=4, title_max_df=1.1)
     rows = run.predictions.collect()
     assert rows and all(len(r.predicted) == 4 for r in rows)
     assert 0 <= run.score().first().jaccard <= 1
@@ -136,7 +136,7 @@ def test_suggestions(spark, asked):
     long_list = [*tags, *(f"tag{k}" for k in range(suggest.IN_LIST))]
     assert suggest.suggest_tags(asked, [], long_list).where("Id = 1").first().tags == direct
     rows = materialise(data.select("Id", F.col("`title-tokens`").alias("tokens")))
-    model = topics.fit_topics(rows, "tokens", num_topics=2, iterations=2)
+    model = topics.fit_topics(rows, "tokens", num_topics=2, passes=2)
     both = suggest.suggest_tags(asked, [], tags, topic_model=model, n_term=1).where("Id = 1").first().tags
     assert set(direct) <= set(both) and len(both) in (2, 3)
 
