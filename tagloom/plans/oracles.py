@@ -250,6 +250,13 @@ def kept_labels(n: int) -> str:
 )"""
 
 
+def test_rows(n: int, extra: str, vectors: bool = False) -> str:
+    """The test part of a run over the ``n`` most used labels; ``vectors``: only rows that have one."""
+    vecs = "JOIN embeddings ON vec_id = rows_.Id" if vectors else ""
+    return f"""WITH {split(kept_labels(n), 'kept_key')}
+SELECT rows_.Id, kept AS truth, {extra} FROM rows_ JOIN parts ON parts.Id = rows_.Id {vecs} WHERE is_test"""
+
+
 THETA = """
 dims AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
 theta AS (
@@ -530,6 +537,15 @@ rates AS (
   FROM tagged JOIN lists USING (Id)
 )
 SELECT round(avg(t), 6) AS tag_coverage, round(avg(w), 6) AS word_coverage FROM rates""",
+    "supervised_bow_rows": test_rows(10, "TRUE AS scored"),
+    "binary_relevance_rows": test_rows(50, "TRUE AS scored", vectors=True),
+    "unsupervised_rows": test_rows(20, f"{R.N_TERM} AS n_terms"),
+    "run_grid_rows": " UNION ALL ".join(
+        f"SELECT 'Classifier-squared_error&nb_tags-{n}&scaler-{s}' AS run, Id, truth FROM ({test_rows(n, '1 AS one', vectors=True)})"
+        for n in (5, 10) for s in ("True", "False")
+    ),
+    "lda_share_sums": f"""WITH kept AS ({kept_by_doc_freq(*R.BODY_RANGE)})
+SELECT Id, 10 AS topics, tokens <> '' AS words, CASE WHEN tokens <> '' THEN 1.0 ELSE 0.0 END::DOUBLE AS share FROM kept""",
     "topic_selection": f"""WITH {THETA}
 SELECT vec_id, topic, round(CASE WHEN r <= {R.N_TOPIC} THEN share ELSE 0 END, 6) AS by_n,
   round(CASE WHEN share > 0.15::DOUBLE THEN share ELSE 0 END, 6) AS by_p FROM ordered""",

@@ -610,6 +610,20 @@ def supervised_bow_hinge(spark, sf):
     return run.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
 
 
+def scored_rows(run: experiments.Run) -> DataFrame:
+    """The test rows of a run with their true labels, and whether each got a prediction."""
+    return run.predictions.select("Id", joined("truth").alias("truth"), F.col("predicted").isNotNull().alias("scored"))
+
+
+def supervised_bow_rows(spark, sf):
+    return scored_rows(bow_run(spark, sf, vect="count", loss="squared_error", scaler=False))
+
+
+def binary_relevance_rows(spark, sf):
+    vecs = vector_rows(spark, sf).select(F.col("vec_id").alias("Id"), "embedding")
+    return scored_rows(experiments.supervised_embedding(tagged(spark, sf), vecs, nb_tags=50, loss="squared_error"))
+
+
 def topic_rows(spark, sf) -> DataFrame:
     rows = membership.filter_by_doc_freq(words(spark, sf), "Id", "tokens", "kept", *BODY_RANGE)
     return materialise(rows.select("Id", F.col("kept").alias("tokens")))
@@ -627,6 +641,16 @@ def lda_topics(spark, sf):
     return topics.topic_distribution(rows, model).select("Id", F.posexplode(unfolded("topics")).alias("topic", "share"))
 
 
+def lda_share_sums(spark, sf):
+    """Topics and their total share, for every document."""
+    rows = topic_rows(spark, sf)
+    model = topics.fit_topics(rows, "tokens", num_topics=10)
+    total = F.aggregate("topics", F.lit(0.0), lambda a, x: a + x)
+    return topics.topic_distribution(rows, model).select(
+        "Id", F.size("topics").alias("topics"), (F.size("tokens") > 0).alias("words"), F.round(total, 6).alias("share")
+    )
+
+
 def given_topics(spark, sf) -> DataFrame:
     """Topic shares from the given vectors: ten absolute values scaled to sum 1."""
     head = F.transform(F.slice("embedding", 1, 10), lambda v: F.abs(v.cast("double")))
@@ -698,6 +722,14 @@ def unsupervised(spark, sf):
     return run.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
 
 
+def unsupervised_rows(spark, sf):
+    run = experiments.unsupervised(
+        prepared_questions(spark, sf), nb_tags=20, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
+        title_min_df=TITLE_RANGE[0], title_max_df=TITLE_RANGE[1], num_topics=10, n_term=N_TERM,
+    )
+    return run.predictions.select("Id", joined("truth").alias("truth"), F.size("predicted").alias("n_terms"))
+
+
 def distinct_lists(spark, sf) -> DataFrame:
     """Value lists with few members: languages, quality labels, digits of the text length."""
     docs = questions.read_table(spark, sf, "documents")
@@ -745,6 +777,11 @@ def run_grid(spark, sf):
     )
 
 
+def run_grid_rows(spark, sf):
+    """Every run of the grid with its test rows and true labels."""
+    return run_grid(spark, sf).select("run", "Id", "truth")
+
+
 def results_table(spark, sf):
     path = scratch_path(spark, "grid")
     vecs = materialise(vector_rows(spark, sf).select(F.col("vec_id").alias("Id"), "embedding"))
@@ -902,6 +939,11 @@ QUERIES: dict[str, Query] = {
     "coverage_rates": coverage_rates,
     "supervised_bow": supervised_bow,
     "supervised_bow_hinge": supervised_bow_hinge,
+    "supervised_bow_rows": supervised_bow_rows,
+    "binary_relevance_rows": binary_relevance_rows,
+    "lda_share_sums": lda_share_sums,
+    "unsupervised_rows": unsupervised_rows,
+    "run_grid_rows": run_grid_rows,
     "lda_fit": lda_fit,
     "lda_topics": lda_topics,
     "topic_selection": topic_selection,
