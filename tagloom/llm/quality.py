@@ -104,14 +104,14 @@ def host_verdicts(measured: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     for rule in rule_failures().values():
         failed = failed | rule
     hosts = measured.groupBy("host").agg(F.count("*").alias("docs"), F.count_if(failed).alias("failures"))
-    prior = hosts.agg(F.avg(F.col("failures") / F.col("docs")).alias("m"), F.var_pop(F.col("failures") / F.col("docs")).alias("v"))
-    weight = F.when(F.col("v") > 0, F.col("m") * (1 - F.col("m")) / F.col("v") - 1).otherwise(PRIOR_MOST)
-    prior = prior.select("m", F.least(F.greatest(weight, F.lit(0.0)), F.lit(PRIOR_MOST)).alias("weight"))
-    rate = (F.col("failures") + F.col("m") * F.col("weight")) / (F.col("docs") + F.col("weight"))
-    # One row: the prior.
-    return hosts.join(F.broadcast(prior), how="cross").select(
-        "host", "docs", "failures", rate.alias("rate"), (rate > limit).alias("rejected")
-    )
+    share = F.col("failures") / F.col("docs")
+    # One row with the two moments, read as a scalar subquery.
+    moments = hosts.agg(F.struct(F.avg(share).alias("m"), F.var_pop(share).alias("v")).alias("p")).scalar()
+    known = hosts.withColumn("_p", moments)
+    m, v = F.col("_p.m"), F.col("_p.v")
+    weight = F.least(F.greatest(F.when(v > 0, m * (1 - m) / v - 1).otherwise(PRIOR_MOST), F.lit(0.0)), F.lit(PRIOR_MOST))
+    rate = (F.col("failures") + m * weight) / (F.col("docs") + weight)
+    return known.select("host", "docs", "failures", rate.alias("rate"), (rate > limit).alias("rejected"))
 
 
 def quality(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
