@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.arrays import run_lengths, unfolded
+from tagloom.session import materialise
 
 Stat = Literal["term_count", "term_freq", "doc_count", "doc_freq"]
 DECILES = [k / 10 for k in range(1, 10)]
@@ -260,17 +261,44 @@ def tag_usage(df: DataFrame, col: str, n: int, share: float = 0.8) -> DataFrame:
     )
 
 
+def exact_quantiles(values: DataFrame, group: str, value: str, n: str, shares: Sequence[float]) -> DataFrame:
+    """``(group, q)``: interpolated quantiles from a histogram of distinct values.
+
+    The values are sorted over range partitions. A running sum over the partitions' totals, one row per
+    group and partition, tells where each partition's ranks begin; no task holds a whole group.
+    """
+    dealt = materialise(values.repartitionByRange(group, value).withColumn("_cell", F.spark_partition_id()))
+    cells = dealt.groupBy(group, "_cell").agg(F.sum(n).alias("_size"))
+    whole = W.partitionBy(group)
+    earlier = whole.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.select(
+        group, "_cell", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"), F.sum("_size").over(whole).alias("_all")
+    )
+    upto = W.partitionBy(group, "_cell").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    ranked = dealt.join(cells, [group, "_cell"]).withColumn("_end", F.col("_before") + F.sum(n).over(upto))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("_end")) & (rank >= F.col("_end") - F.col(n)), F.col(value)))
+
+    def quantile(share: float) -> Column:
+        place = (F.col("_all") - 1) * F.lit(float(share))
+        low, high, part = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
+        return low + (high - low) * part
+
+    return ranked.groupBy(group).agg(F.array(*[quantile(q) for q in shares]).alias("q"))
+
+
 def describe_counters(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, exact quartiles, max per numeric column.
 
-    The quartiles come from value counts that are partially aggregated before the
-    shuffle, so no task holds a column.
+    Everything comes from value counts that are partially aggregated before the shuffle; the
+    quartiles from ranks over range partitions of the values.
     """
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).cast("double").alias("value")) for c in columns]))
     ).where("value is not null")
-    values = long.groupBy("counter", "value").agg(F.count("*").alias("n"))
-    quartile = F.percentile("value", F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]), F.col("n"))
+    values = materialise(long.groupBy("counter", "value").agg(F.count("*").alias("n")))
+    quartiles = exact_quantiles(values, "counter", "value", "n", (0.25, 0.5, 0.75))
     total = F.sum("n")
     mean = F.sum(F.col("value") * F.col("n")) / total
     squares = F.sum(F.col("value") * F.col("value") * F.col("n"))
@@ -281,9 +309,9 @@ def describe_counters(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             mean.alias("mean"),
             F.sqrt(F.greatest((squares - total * mean * mean) / F.nullif(total - 1, F.lit(0)), F.lit(0.0))).alias("std"),
             F.min("value").alias("min"),
-            quartile.alias("q"),
             F.max("value").alias("max"),
         )
+        .join(quartiles, "counter")
         .select(
             "counter", "count", "mean", "std", "min",
             F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
