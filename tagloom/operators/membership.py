@@ -47,14 +47,13 @@ def token_lookup(
     hot = rows.groupBy(on).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), on).limit(hot_tokens)
     hot = materialise(hot.select(on).join(right, on, "left").select(on, F.struct(*payload).alias("_hot")))
     cold = right.join(F.broadcast(hot), on, "left_anti").select(
-        F.col(on).alias("_on"), F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold")
+        F.col(on).alias("_on"), F.xxhash64(on).alias("_route"), F.struct(*payload).alias("_cold")
     )
-    # Rows already answered by the broadcast keep a salt that matches nothing, so they
-    # spread evenly over the shuffle instead of meeting in one partition.
-    salted = rows.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.hash(*spread_by), F.lit(1 << 20)))
-    )
-    joined = salted.join(cold, (salted[on] == cold["_on"]) & (salted["_salt"] == cold["_salt"]), "left")
+    # Rows already answered by the broadcast are routed by their own hash and match nothing, so they
+    # spread evenly over the shuffle. (A literal salt would be folded away and leave the token alone.)
+    route = F.when(F.col("_hot").isNull(), F.xxhash64(on)).otherwise(F.xxhash64(*spread_by))
+    salted = rows.join(F.broadcast(hot), on, "left").withColumn("_route", route)
+    joined = salted.join(cold, (salted[on] == cold["_on"]) & (salted["_route"] == cold["_route"]), "left")
     return joined.select(
         *[salted[c] for c in rows.columns],
         *[F.coalesce(F.col("_hot")[c], F.col("_cold")[c]).alias(c) for c in payload],

@@ -17,6 +17,7 @@ QUESTION_SCHEMA = T.StructType(
     + [T.StructField(c, T.IntegerType()) for c in QUESTION_COLUMNS[4:]]
 )
 MAX_QUESTIONS = 500_000
+CELLS = 4096
 
 
 def is_useful_question() -> Column:
@@ -32,6 +33,30 @@ def is_useful_question() -> Column:
     )
 
 
+def cutoff_id(ids: DataFrame, limit: int) -> int | None:
+    """The ``limit``-th lowest id, None when there are not as many.
+
+    Ids are counted in ``CELLS`` equal ranges; the range that holds the wanted one is cut again until it is
+    a single id. Every round is a partial aggregation to at most ``CELLS`` rows; nothing is sorted.
+    """
+    low, high = ids.agg(F.min("Id"), F.max("Id")).first()
+    while low is not None and limit > 0:
+        width = -(-(high - low + 1) // CELLS)
+        cell = F.floor((F.col("Id") - low) / width).alias("cell")
+        inside = ids.where((F.col("Id") >= low) & (F.col("Id") <= high))
+        for r in inside.groupBy(cell).count().orderBy("cell").collect():
+            if r["count"] >= limit:
+                low = low + r["cell"] * width
+                high = low + width - 1
+                break
+            limit -= r["count"]
+        else:
+            return None
+        if width == 1:
+            return low
+    return None
+
+
 def question_extract(posts: DataFrame, limit: int = MAX_QUESTIONS) -> DataFrame:
     """The useful questions with the lowest ``limit`` ids.
 
@@ -39,8 +64,8 @@ def question_extract(posts: DataFrame, limit: int = MAX_QUESTIONS) -> DataFrame:
     never sorted or gathered.
     """
     kept = posts.where(is_useful_question())
-    last = kept.select("Id").orderBy("Id").limit(limit).agg(F.max("Id")).scalar()
-    return kept.where(F.col("Id") <= last).select(*QUESTION_COLUMNS)
+    last = cutoff_id(kept.select("Id"), limit)
+    return (kept if last is None else kept.where(F.col("Id") <= last)).select(*QUESTION_COLUMNS)
 
 
 # Blanks at the ends of a value belong to it; a quote inside is doubled.

@@ -280,3 +280,22 @@ def test_word_vectors_are_repeatable(corpus):
         vectors.fit_word_vectors(corpus, "Id", "tokens", dim=4, vocab_size=3, epochs=1)).orderBy("word").collect()
     first = fit()
     assert len(first) == 3 and all(len(r.vector) == 4 for r in first) and first == fit()
+
+
+def test_cutoff_id_of_spread_and_repeated_ids(spark):
+    from tagloom.sources.questions import cutoff_id
+
+    ids = [k * k * 7919 - 5_000_000 for k in range(3000)] + [42, 42]
+    frame = spark.createDataFrame([(k,) for k in ids], "Id long")
+    for n in (1, 2, 1500, 3002):
+        assert cutoff_id(frame, n) == sorted(ids)[n - 1]
+    assert cutoff_id(frame, 3003) is None and cutoff_id(frame.limit(0), 1) is None
+
+
+def test_quantiles_over_range_partitions(spark):
+    rows = [(g, float((k * 37) % 101), 1 + k % 3) for g in ("a", "b") for k in range(60)]
+    frame = spark.createDataFrame(rows, "g string, value double, n long").groupBy("g", "value").agg(F.sum("n").alias("n"))
+    got = {r.g: r.q for r in stats.exact_quantiles(frame, "g", "value", "n", (0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
+    for g in ("a", "b"):
+        flat = [v for x, v, n in rows if x == g for _ in range(n)]
+        assert got[g] == pytest.approx(list(np.quantile(flat, (0.0, 0.25, 0.5, 0.9, 1.0))))
