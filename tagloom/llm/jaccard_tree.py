@@ -3,11 +3,13 @@
 Two texts link when their sets of 5-word shingles have a Jaccard similarity of 0.8 or more. The steps:
 
 1. *Sketches.* One map over the texts gives each text its set size, a digest of the set, a bitmap of its shingles (four bits per
-   shingle) and the shingles of its necessary prefix: in a fixed order of all shingles, linked sets share one of their first
-   ``n - ceil(0.8 n) + 1``. Shingles that are frequent in a bounded sample come last in that order, so
+   shingle) and the shingles of its prefix: in a fixed order of all shingles, linked sets x and y share k of their first
+   ``n - ceil(0.8 n) + k``, for every k. Shingles that are frequent in a bounded sample come last in that order, so
    passages shared by many texts rarely matter. The sample only sets the order; the result does not depend on it.
-2. *Blocks.* Texts that share a prefix shingle form a block; equal blocks are kept once. A block beyond
-   ``BLOCK`` members is dealt into pairs of sub-blocks.
+2. *Blocks.* With k a tenth of the set, a text whose prefix has too few shingles that occur in any other prefix is linked with
+   nothing (``least_shared``). The texts that are left form a block for each shingle that two of their first
+   ``n - ceil(0.8 n) + 1`` have in common; equal blocks are kept once. A block beyond ``BLOCK`` members is dealt into pairs
+   of sub-blocks.
 3. *Trees.* In each block the members, ordered by size, become the leaves of a tree whose nodes hold OR-combined bitmaps
    and size ranges. A dual traversal drops node pairs whose sizes or whose greatest possible overlap rule out a link.
    Of what passes, pairs that look linked are kept as a forest (enough for the components), doubtful ones all.
@@ -44,6 +46,7 @@ ANCHORS = 32
 SALTS = 16
 CHUNK = 64
 LEAST_LINKABLE = 4  # a smaller set only links with an equal one
+EXTRA = 10  # the counted prefix is longer by one EXTRA-th of the set
 
 
 def sets_of(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -89,10 +92,22 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(marks, bitorder="little").tobytes()
 
 
+def prefix_length(n: int) -> int:
+    """Linked sets share one of so many first shingles."""
+    return n - -(-4 * n // 5) + 1
+
+
+def least_shared(n: int) -> int:
+    """How many shingles of the counted prefix a linked text must share with its partner, which has at least
+    ``ceil(0.8 n)`` shingles and therefore a k of at least a tenth of that."""
+    smallest = -(-4 * n // 5)
+    return -(-smallest // EXTRA)
+
+
 def prefix(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The necessary prefix, its rare and its frequent part. ``frequent`` is sorted, ``rank`` its order of frequency."""
+    """The counted prefix, its rare and its frequent part. ``frequent`` is sorted, ``rank`` its order of frequency."""
     n = len(shingles)
-    most = n - -(-4 * n // 5) + 1
+    most = prefix_length(n) - 1 + -(-n // EXTRA)
     if not len(frequent):
         return shingles[:most], shingles[:0]
     at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
@@ -169,15 +184,57 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield made
 
 
-def block_members(sketched: DataFrame) -> DataFrame:
-    """``block, doc_id, m`` (members of the block)."""
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows ordered by shingle: how many of each id's shingles occur with another id (in parts).
+
+    Of a shingle that goes on in the next batch only its first id, as long as it is alone, is carried.
+    """
+    last, alone = None, None
+    for batch in batches:
+        token, ids = (batch[c].to_numpy(zero_copy_only=False) for c in ("token", "doc_id"))
+        if not len(token):
+            continue
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        size = np.diff(np.r_[starts, len(token)])
+        shared = np.repeat(size > 1, size)
+        found = []
+        if last is not None and token[0] == last:
+            shared[: size[0]] = True
+            if alone is not None:
+                found.append(alone)
+        elif len(starts) == 1:
+            last = None
+        first_goes_on = last is not None and token[0] == last and len(starts) == 1
+        last = token[-1]
+        alone = None if size[-1] > 1 or first_goes_on else ids[-1]
+        value, n = np.unique(np.r_[ids[shared], np.array(found, dtype=ids.dtype)], return_counts=True)
+        if len(value):
+            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(n)], ["doc_id", "c"])
+
+
+def possible(sketched: DataFrame) -> DataFrame:
+    """The sketches of texts whose prefixes share enough with others."""
     rare = sketched.where(F.size("rare") > 0).select("doc_id", F.explode("rare").alias("token"))
+    rare = rare.repartition("token").sortWithinPartitions("token")
+    counts = rare.mapInArrow(_shared_counts, "doc_id long, c long").groupBy("doc_id").agg(F.sum("c").alias("_c"))
+    eight = F.ceil(F.col("n") * 4 / 5)
+    # A frequent shingle counts as shared. An id with several texts has the sum of their counts.
+    enough = F.coalesce("_c", F.lit(0)) + F.size("often") >= F.ceil(eight / EXTRA)
+    return sketched.where(F.col("bits").isNotNull()).join(counts, "doc_id", "left").where(enough).drop("_c")
+
+
+def block_members(candidates: DataFrame) -> DataFrame:
+    """``block, doc_id, m`` (members of the block)."""
+    base = (F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1).cast("int")
+    rare = candidates.select("doc_id", F.explode(F.slice("rare", 1, F.greatest(base, F.lit(0)))).alias("token"))
     runs = rare.repartition("token").sortWithinPartitions("token", "doc_id").mapInArrow(_runs, "block long, doc_id long")
     # Frequent shingles never meet in one task: each is a block by itself and is dealt out below.
-    often = sketched.where(F.size("often") > 0).select(F.explode("often").alias("block"), "doc_id")
+    left = F.greatest(base - F.size("rare"), F.lit(0))
+    often = candidates.select(F.explode(F.slice("often", 1, left)).alias("block"), "doc_id")
     rows = stored(runs.union(often).distinct(), "blocks")
-    sizes = rows.groupBy("block").agg(F.count("*").alias("m")).where(F.col("m") > 1)
-    return rows.join(sizes, "block")
+    sizes = rows.groupBy("block").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("x"))
+    single = sizes.where(F.col("m") > 1).groupBy("m", "x").agg(F.min("block").alias("block"))
+    return rows.join(single.select("block", "m"), "block")
 
 
 # --- signature trees ----------------------------------------------------------------------
@@ -359,6 +416,32 @@ def block_pairs(rows: DataFrame, everything: bool) -> DataFrame:
     return dealt.mapInArrow(traverse, "block long, a long, b long, good boolean")
 
 
+def block_stars(pairs: DataFrame) -> DataFrame:
+    """``a, b``: the links ``block, a, b`` of each task's blocks as stars around their smallest ids."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # of one batch only: more would not change the components
+            parent: dict[int, int] = {}
+
+            def find(k: int) -> int:
+                while parent.setdefault(k, k) != k:
+                    parent[k] = parent[parent[k]]
+                    k = parent[k]
+                return k
+
+            for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+            rows = [(find(k), k) for k in list(parent)]
+            rows = [r for r in rows if r[0] != r[1]]
+            if rows:
+                a, b = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    rows = pairs.repartition("block").sortWithinPartitions("block").select("a", "b")
+    return rows.mapInArrow(contract, "a long, b long").distinct()
+
+
 def _parts():
     return F.ceil(F.col("m") / BLOCK).cast("int")
 
@@ -421,20 +504,21 @@ def jaccard_components(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     salted = full.groupBy("d1", "d2", "salt").agg(F.min("doc_id").alias("_m"))
     classes = stored(salted.join(salted.groupBy("d1", "d2").agg(F.min("_m").alias("rep")), ["d1", "d2"]), "classes")
 
-    members = stored(block_members(sketched), "members")
-    signed = sketched.where(F.col("bits").isNotNull()).select("doc_id", "n", "bits")
-    signed = signed.dropDuplicates(["doc_id", "n", "bits"])
+    candidates = stored(possible(sketched), "candidates")
+    members = stored(block_members(candidates), "members")
+    signed = candidates.select("doc_id", "n", "bits").dropDuplicates(["doc_id", "n", "bits"])
     spread = F.pmod(F.xxhash64("doc_id", "block"), _parts()).cast("int")
     anchor = (F.col("m") > BLOCK) & (F.pmod(F.xxhash64("block", "doc_id", F.lit(1)), F.col("m")) < ANCHORS)
     own = F.array(spread)
     dealt = members.withColumn("p", F.explode(F.when(anchor, F.sequence(F.lit(0), _parts() - 1)).otherwise(own)))
     first = stored(block_pairs(dealt.withColumn("q", F.col("p")).join(signed, "doc_id"), everything=False), "pairs-1")
     checked = stored(verified(docs, first.select("a", "b").distinct()), "checked-1")
-    links = checked.where("link").select("a", "b")
+    # Stars of the links within each block: a large group of near copies gets a short way to its centre.
+    links = stored(block_stars(first.join(checked.where("link").select("a", "b"), ["a", "b"])), "links")
 
     def over_classes(pairs: DataFrame) -> DataFrame:
         """Links between documents and the classes of their sets as one edge list."""
-        ids = sketched.where(F.col("bits").isNotNull()).select("doc_id", "d1", "d2").distinct()
+        ids = candidates.select("doc_id", "d1", "d2").distinct()
         reps = ids.join(classes.select("d1", "d2", "rep").distinct(), ["d1", "d2"])
         same = reps.where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         return components(pairs.union(same))

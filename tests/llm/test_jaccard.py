@@ -9,7 +9,7 @@ import pytest
 
 from tagloom.llm import jaccard_tree
 from tagloom.llm.components import components
-from tagloom.llm.jaccard_tree import bitmap, jaccard_components, keep_one_each, linked, tree_pairs
+from tagloom.llm.jaccard_tree import bitmap, jaccard_components, keep_one_each, least_shared, linked, prefix_length, tree_pairs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -85,6 +85,21 @@ def test_similarity_of_exactly_eight_tenths_links():
     assert linked(8, 9, 9) and not linked(8, 9, 10) and linked(4, 5, 4)
 
 
+def test_linked_sets_share_what_the_prefixes_promise():
+    rnd = random.Random(8)
+    for _ in range(3000):
+        n = rnd.randint(4, 60)
+        x = set(rnd.sample(range(80), n))
+        y = set(x)
+        for _ in range(rnd.randint(0, 8)):
+            y.symmetric_difference_update({rnd.randrange(80)})
+        if y and linked(len(x & y), len(x), len(y)):
+            a, b = (sorted(s)[: prefix_length(len(s)) - 1 + -(-len(s) // 10)] for s in (x, y))
+            common = len(set(a) & set(b))
+            assert common >= max(least_shared(len(x)), least_shared(len(y)), 1)
+            assert set(sorted(x)[: prefix_length(len(x))]) & set(sorted(y)[: prefix_length(len(y))])
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_tree_drops_no_linked_pair(seed):
     rnd = np.random.default_rng(seed)
