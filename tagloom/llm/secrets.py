@@ -1,8 +1,8 @@
 """Secret scans: all rules in one deterministic automaton that reads every byte once.
 
 The searching automaton tells which pieces of a text hold the end of a match of which rule. A piece runs up to a byte
-that leads back to the start state from everywhere (a line end, a comma, any byte beyond ASCII ...), so no
-match crosses two pieces. Only in the few pieces with a match does the anchored automaton find the exact
+that leads back to the start state from everywhere and is part of no rule (a line end, a comma, any byte beyond
+ASCII ...), so no match crosses two pieces. Only in the few pieces with a match does the anchored automaton find the exact
 spans: leftmost, longest, not overlapping within a rule.
 """
 
@@ -51,6 +51,16 @@ def anchored() -> tuple[Automaton, ...]:
     return tuple(compile_rules([(p, c)], search=False) for p, c in [*((r[2], r[3]) for r in RULES), (_KEY, True)])
 
 
+@lru_cache(maxsize=1)
+def cut_bytes() -> np.ndarray:
+    """Bytes after which a text can be cut: they lead the searching automaton back to its start, and no rule has them."""
+    cut = np.zeros(256, dtype=bool)
+    cut[searcher().resets] = True
+    for auto in anchored():
+        cut &= (auto.table.reshape(-1, 256) == auto.dead).all(axis=0)
+    return cut
+
+
 def _longest(auto: Automaton, data: bytes, at: int) -> int:
     """End of the longest match that begins at ``at``, or -1."""
     state, end, table, accepts, dead = 0, -1, auto.table, auto.accepts, auto.dead
@@ -102,9 +112,7 @@ def _value_start(data: bytes, at: int, end: int) -> int:
 def find_secrets(column: pa.Array) -> list[list[tuple[int, int, int]]]:
     """For each text the spans ``(start, end, kind)`` in code points, ordered. Null and empty texts have none."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(column))]
-    auto = searcher()
-    reset = np.zeros(256, dtype=bool)
-    reset[auto.resets] = True
+    auto, reset = searcher(), cut_bytes()
     for first, _, data, bounds in text_chunks(column):
         if not len(data):
             continue
@@ -117,7 +125,7 @@ def find_secrets(column: pa.Array) -> list[list[tuple[int, int, int]]]:
         for i, row in zip(hits.tolist(), rows.tolist(), strict=True):
             piece = data[starts[i] : ends[i]].tobytes()
             before = int(np.count_nonzero((data[bounds[row] : starts[i]] & 0xC0) != 0x80))
-            # Only the reset byte at the end of a piece can be beyond ASCII, so bytes are code points inside.
+            # Only the byte at the end of a piece can be beyond ASCII, so bytes are code points inside.
             out[first + row] += [
                 (before + a, before + b, kind)
                 for kind in range(len(RULES)) if bits[i] >> kind & 1

@@ -56,8 +56,10 @@ def test_minimal_automaton():
 
 def test_other_kinds():
     jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK"
-    text = f"-----BEGIN RSA PRIVATE KEY----- {jwt} https://me:pw1@host gh" + "p_" + "a1" * 18
-    assert [KINDS[k] for _, _, k in find_secrets(pa.array([text]))[0]] == ["private_key", "jwt", "login_url", "hub"]
+    text = f"-----BEGIN RSA PRIVATE KEY----- {jwt} https://me:pw1@host gh" + "p_" + "Z1" * 18 + " ftp://u:p!$%x@h"
+    assert [KINDS[k] for _, _, k in find_secrets(pa.array([text]))[0]] == [
+        "private_key", "jwt", "login_url", "hub", "login_url"
+    ]
 
 
 def test_rows_nulls_and_redaction(spark):
