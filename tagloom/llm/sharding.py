@@ -30,23 +30,23 @@ def _by_shard(shard: Column, values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), shard + 1)
 
 
-def propagate(units: DataFrame, fixed: list[int], shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(units: DataFrame, capacity: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """Rounds of balanced label propagation over ``units`` (group columns ``g1, g2``, first shard ``home``, current
-    shard ``at``, documents ``n``); ``fixed`` are the unlinked documents of each shard."""
-    total = sum(fixed) + sum(_amounts(units, "at").values())
-    capacity = -(-total // shards)
+    shard ``at``, documents ``n``); a shard takes at most about ``capacity`` linked documents. Unlinked ones do not
+    count: they make room in the last step."""
     for k in range(rounds):
         per_shard = Window.partitionBy("g1", "g2", "at")
         held = units.withColumn("_held", F.sum("n").over(per_shard))
-        best = F.max(F.struct("_held", (-F.col("at")).alias("_s"))).over(Window.partitionBy("g1", "g2"))
-        wish = stored(held.select("g1", "g2", "home", "at", "n", (-best["_s"]).cast("int").alias("to")), f"wishes-{k}")
+        # Ties go by a hash, so that no shard is everybody's wish.
+        best = F.max(F.struct("_held", F.xxhash64("g1", "g2", "at").alias("_t"), "at")).over(Window.partitionBy("g1", "g2"))
+        wish = stored(held.select("g1", "g2", "home", "at", "n", best["at"].alias("to")), f"wishes-{k}")
         movers = wish.where(F.col("at") != F.col("to"))
         now, into, out = _amounts(wish, "at"), _amounts(movers, "to"), _amounts(movers, "at")
         if not into:
             break
         quota = []
         for s in range(shards):
-            free = capacity - fixed[s] - now.get(s, 0) + out.get(s, 0)
+            free = capacity - now.get(s, 0) + out.get(s, 0)
             quota.append(int(MILLION * min(1.0, max(0.0, free / max(into.get(s, 0), 1)))))
         lucky = F.pmod(F.xxhash64(F.lit(k), "g1", "g2"), F.lit(MILLION)) < _by_shard(F.col("to"), quota)
         units = stored(
@@ -71,10 +71,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     all_units = nodes.groupBy("g1", "g2", "home").agg(F.count("*").alias("n"))
     whole = F.sum("n").over(Window.partitionBy("g1", "g2"))
     all_units = stored(all_units.withColumn("_all", whole), "all-units")
-    single = _amounts(all_units.where(F.col("_all") == 1), "home")
-    fixed = [single.get(s, 0) for s in range(shards)]
     units = all_units.where(F.col("_all") > 1).select("g1", "g2", "home", F.col("home").alias("at"), "n")
-    units = propagate(stored(units, "units"), fixed, shards, rounds)
+    units = propagate(stored(units, "units"), nodes.count() // shards, shards, rounds)
 
     placed = nodes.join(units.select("g1", "g2", "home", "at"), ["g1", "g2", "home"], "left")
     placed = placed.select(
