@@ -45,6 +45,7 @@ BLOCK = 1_500
 ANCHORS = 32
 SALTS = 16
 CHUNK = 64
+LIST = 1_000
 LEAST_LINKABLE = 4  # a smaller set only links with an equal one
 EXTRA = 10  # the counted prefix is longer by one EXTRA-th of the set
 
@@ -149,7 +150,8 @@ def sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows ordered by shingle: the ids of each shingle with two or more, named by a digest of the ids."""
+    """From rows ordered by shingle: the ids of each shingle with two or more, in parts of ``LIST``, named by a digest
+    of the ids."""
     seen: set[int] = set()
 
     def blocks(token: np.ndarray, ids: np.ndarray) -> pa.RecordBatch | None:
@@ -162,11 +164,18 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(seen) > 1_000_000:
             seen.clear()
         seen.update(name[keep].tolist())
-        rows = np.repeat(keep, size)
-        if rows.any():
-            named = np.repeat(name, size)[rows].view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(named), pa.array(ids[rows])], ["block", "doc_id"])
-        return None
+        rows = [
+            (int(name[k]), part, ids[a : min(a + LIST, starts[k] + size[k])])
+            for k in np.flatnonzero(keep).tolist()
+            for part, a in enumerate(range(starts[k], starts[k] + size[k], LIST))
+        ]
+        if not rows:
+            return None
+        block, part, members = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array(block, np.uint64).view(np.int64)), pa.array(part, pa.int32()), pa.array(members, pa.list_(pa.int64()))],
+            ["block", "part", "ids"],
+        )
 
     token, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
@@ -217,17 +226,21 @@ def possible(sketched: DataFrame) -> DataFrame:
     rare = sketched.where(F.size("rare") > 0).select("doc_id", F.explode("rare").alias("token"))
     rare = rare.repartition("token").sortWithinPartitions("token")
     counts = rare.mapInArrow(_shared_counts, "doc_id long, c long").groupBy("doc_id").agg(F.sum("c").alias("_c"))
-    eight = F.ceil(F.col("n") * 4 / 5)
     # A frequent shingle counts as shared. An id with several texts has the sum of their counts.
-    enough = F.coalesce("_c", F.lit(0)) + F.size("often") >= F.ceil(eight / EXTRA)
-    return sketched.where(F.col("bits").isNotNull()).join(counts, "doc_id", "left").where(enough).drop("_c")
+    narrow = sketched.where(F.col("bits").isNotNull()).select("doc_id", "n", F.size("often").alias("_o"))
+    least = F.ceil(F.ceil(F.col("n") * 4 / 5) / EXTRA)
+    enough = narrow.join(counts, "doc_id", "left").where(F.coalesce("_c", F.lit(0)) + F.col("_o") >= least)
+    enough = stored(enough.select("doc_id").distinct(), "enough")
+    return sketched.where(F.col("bits").isNotNull()).join(bounded(enough), "doc_id")
 
 
 def block_members(candidates: DataFrame) -> DataFrame:
     """``block, doc_id, m`` (members of the block)."""
     base = (F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1).cast("int")
     rare = candidates.select("doc_id", F.explode(F.slice("rare", 1, F.greatest(base, F.lit(0)))).alias("token"))
-    runs = rare.repartition("token").sortWithinPartitions("token", "doc_id").mapInArrow(_runs, "block long, doc_id long")
+    lists = rare.repartition("token").sortWithinPartitions("token", "doc_id")
+    lists = lists.mapInArrow(_runs, "block long, part int, ids array<long>").dropDuplicates(["block", "part"])
+    runs = lists.select("block", F.explode("ids").alias("doc_id"))
     # Frequent shingles never meet in one task: each is a block by itself and is dealt out below.
     left = F.greatest(base - F.size("rare"), F.lit(0))
     often = candidates.select(F.explode(F.slice("often", 1, left)).alias("block"), "doc_id")
@@ -455,14 +468,13 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     The texts of ``b`` come to chunks of their partner ``a``, so that a text with many partners is spread over tasks.
     """
     pairs = stored(pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(CHUNK)).alias("c")), "pairs")
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
-    texts = stored(docs.select("doc_id", "text").join(bounded(needed), "doc_id"), "texts")
     degree = pairs.groupBy("a").agg(F.count("*").alias("_n"))
     chunk = F.when(F.col("_n") > CHUNK, F.col("c")).otherwise(0).alias("c")
-    pairs = pairs.join(degree, "a").select("a", "b", chunk)
-    members = pairs.join(texts, pairs["b"] == texts["doc_id"]).select("a", "c", "b", "text")
-    heads = pairs.select("a", "c").distinct().join(texts, F.col("a") == texts["doc_id"])
-    heads = heads.select("a", "c", F.lit(None).cast("long").alias("b"), "text")
+    members = pairs.join(degree, "a").select("a", chunk, "b")
+    heads = members.select("a", "c").distinct().select(F.col("a").alias("doc_id"), "a", "c", F.lit(None).cast("long").alias("b"))
+    targets = stored(heads.union(members.select(F.col("b").alias("doc_id"), "a", "c", "b")), "targets")
+    # Every text goes straight to the chunks that need it: one shuffle of texts.
+    sent = docs.select("doc_id", "text").join(bounded(targets), "doc_id").select("a", "c", "b", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, sets = None, []
@@ -481,7 +493,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 a, b, link = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(link)], ["a", "b", "link"])
 
-    rows = heads.union(members).repartition("a", "c").sortWithinPartitions("a", "c", F.col("b").asc_nulls_first())
+    rows = sent.repartition("a", "c").sortWithinPartitions("a", "c", F.col("b").asc_nulls_first())
     checked = rows.mapInArrow(compare, "a long, b long, link boolean")
     return checked.groupBy("a", "b").agg(F.max("link").alias("link"))  # an id may have several texts
 
