@@ -42,11 +42,12 @@ MARKS = (
     "signup skip social sponsor sponsored subscribe toolbar topbar widget"
 ).split()
 HEADER_MARKS = ["header", "top", "banner"]
+THREADS = ["comment", "comments", "disqus", "replies", "reply", "respond"]
 ROLES = ["alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search"]
 CONTENT_MARKS = ["article", "articlebody", "content", "entry", "main", "post", "story"]
 
 _RAW, _VOID, _DROPPED, _BLOCKS, _PROSE = map(frozenset, (RAW, VOID, DROPPED, BLOCKS, PROSE))
-_MARKS, _HEADER, _ROLES, _CONTENT = map(frozenset, (MARKS, HEADER_MARKS, ROLES, CONTENT_MARKS))
+_MARKS, _HEADER, _ROLES, _CONTENT, _THREADS = map(frozenset, (MARKS, HEADER_MARKS, ROLES, CONTENT_MARKS, THREADS))
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|$)|<[a-zA-Z][^>]*(?:>|$)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 _NAME = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
@@ -56,43 +57,75 @@ COPY_SHARE = 0.8
 Line = tuple[str, bool]
 
 
-def _marks(attributes: str) -> tuple[set[str], set[str], bool]:
-    """Words of class and id, roles, and whether the element is hidden."""
-    names, roles, hidden = set(), set(), False
+def _marks(attributes: str) -> tuple[set[str], set[str], bool, bool]:
+    """Words of class and id, roles, whether the element is hidden, and whether a whole name says that it is a marked part
+    (``ad``, ``cookie-notice``; not ``has-sidebar``)."""
+    names, roles, hidden, whole = set(), set(), False, False
     for name, a, b, c, flag in _ATTRIBUTE.findall(attributes):
         value, name = a or b or c, name.lower()
         if name in ("class", "id"):
             for part in value.split():
-                names |= {x.lower() for x in re.split(r"[^A-Za-z0-9]+", part)} | {x.lower() for x in _NAME.findall(part)}
+                words = {x.lower() for x in re.split(r"[^A-Za-z0-9]+", part) if x}
+                names |= words | {x.lower() for x in _NAME.findall(part)}
+                whole = whole or bool(words) and words <= _MARKS - _HEADER
         elif name in ("role", "itemprop"):
             roles |= {x.lower() for x in value.split()}
         elif flag or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
-    return names, roles, hidden
+    return names, roles, hidden, whole
+
+
+class _Part:
+    """An element that its class, id or role marks as no main text, until the whole page has been read."""
+
+    def __init__(self, outer: _Part | None, wrapper: bool, thread: bool):
+        self.outer, self.wrapper, self.thread = outer, wrapper, thread
+        self.articles, self.size, self.long, self.kept = 0, 0, 0, False
+
+
+def _keep_wrappers(top: list[_Part], articles: int, lines: list) -> None:
+    """Marked parts that only wrap the page count as unmarked: those with its only article or main, and those outside of one
+    that hold most of the text by a name that says something else as well (``has-sidebar``, ``top``). Comment threads never do.
+    """
+    marked = articles or any(zone and not part for _, zone, _, part in lines)
+    total = sum(len(t) for t, *_ in lines if len(t.split()) >= SHORT_WORDS)
+    for text, _, _, part in lines:
+        while part:
+            part.size += 1
+            part.long += len(text) if len(text.split()) >= SHORT_WORDS else 0
+            part = part.outer
+    for part in top:  # outer parts come first
+        if not part.thread and (not part.outer or part.outer.kept):
+            alone = part.articles and not articles
+            part.kept = bool(alone or part.wrapper and not marked and 2 * part.long > total)
 
 
 def page_lines(page: str | None) -> list[Line]:
     """Candidate lines ``(text, deletable)`` in page order: blocks with white space folded and references decoded.
 
-    If the page marks an article (``article``, ``itemprop``; else ``main`` or a content class), only its lines. There a line may
-    only be deleted if it is short and not in a paragraph, heading, list, table or quote.
+    If the page marks an article (``article``, ``itemprop``; else ``main`` or a content class) that holds at least half of its
+    running text (lines of ``SHORT_WORDS`` words; all lines if there are none), only its lines; an article beside ``main`` counts as
+    ``main`` does, and headings mark nothing. There a line is deletable by one pair of pages only if it is short and not in a
+    paragraph, heading, list, table or quote.
     """
     page = page or ""
-    lines: list[tuple[str, int, bool]] = []  # text, zone, in prose
-    stack: list[tuple[str, bool, int, bool]] = []  # name, dropped, zone, prose
+    lines: list[tuple[str, int, bool, _Part | None]] = []  # text, zone, in prose, innermost marked part
+    stack: list[tuple[str, bool, int, bool, _Part | None, bool]] = []  # name, dropped, zone, prose, marked part, in main
     part: list[str] = []
-    at, dropped, zone, prose = 0, False, 0, False
+    parts: list[_Part] = []
+    at, dropped, zone, prose, marked, in_main = 0, False, 0, False, None, False
+    articles, has_main = 0, False
 
     def flush() -> None:
         if part:
             text = " ".join(html.unescape("".join(part)).split())
             part.clear()
             if text:
-                lines.append((text, zone, prose))
+                lines.append((text, zone, prose, marked))
 
     def settle() -> None:
-        nonlocal dropped, zone, prose
-        _, dropped, zone, prose = stack[-1] if stack else ("", False, 0, False)
+        nonlocal dropped, zone, prose, marked, in_main
+        _, dropped, zone, prose, marked, in_main = stack[-1] if stack else ("", False, 0, False, None, False)
 
     length = len(page)
     while at < length:
@@ -113,7 +146,7 @@ def page_lines(page: str | None) -> list[Line]:
                 flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    if stack[k][1] != dropped or name in _BLOCKS:
+                    if stack[k][1] != dropped or stack[k][4] is not marked or name in _BLOCKS:
                         flush()
                     del stack[k:]
                     settle()
@@ -133,28 +166,51 @@ def page_lines(page: str | None) -> list[Line]:
         if name in _VOID or m[3].endswith("/") and name not in _BLOCKS:
             continue
         new_dropped, new_zone = dropped or name in _DROPPED or name == "header" and zone < 2, zone
+        new_part, new_main = marked, in_main or name == "main"
         if not new_dropped and m[3].strip():
-            names, roles, hidden = _marks(m[3])
-            new_dropped = hidden or bool(names & _MARKS or roles & _ROLES) or zone < 2 and bool(names & _HEADER) and name not in HEADINGS
-            if new_dropped and name in ("html", "body", "article", "main"):
-                new_dropped = name == "article" and bool(names & {"comment", "comments", "reply", "ad", "sponsored", "related"})
+            names, roles, hidden, whole = _marks(m[3])
+            new_dropped = hidden
+            out = bool(names & _MARKS or roles & _ROLES) or zone < 2 and bool(names & _HEADER) and name not in HEADINGS
+            if out and name in ("html", "body", "article", "main"):
+                out = name == "article" and bool(names & {"comment", "comments", "reply", "ad", "sponsored", "related"})
+                new_dropped = out
+            elif out:
+                new_part = _Part(marked, not whole and not zone and not roles & _ROLES, bool(names & _THREADS))
+                parts.append(new_part)
+            new_main = new_main or "main" in roles
             if roles & {"articlebody", "article"}:
                 new_zone = 2
-            elif roles & {"main"} or names & _CONTENT:
+            elif name not in HEADINGS and (roles & {"main"} or names & _CONTENT):
                 new_zone = max(zone, 1)
         if name == "article":
             new_zone = 2
         elif name == "main":
             new_zone = max(new_zone, 1)
-        if new_dropped != dropped:
+        if name in ("article", "main") and not new_dropped:
+            has_main = has_main or name == "main"
+            articles += not new_part
+            outer = new_part
+            while outer:
+                outer.articles += 1
+                outer = outer.outer
+        if new_zone == 2 and not new_main:
+            new_zone = 3  # settled when it is known whether the page has a main element
+        if new_dropped != dropped or new_part is not marked:
             flush()
-        stack.append((name, new_dropped, new_zone, prose and name not in ("div", "section") or name in _PROSE))
+        stack.append((name, new_dropped, new_zone, prose and name not in ("div", "section") or name in _PROSE, new_part, new_main))
         settle()
     flush()
-    best = max((z for _, z, _ in lines), default=0)
-    if best:
-        return [(t, not p and len(t.split()) < SHORT_WORDS) for t, z, p in lines if z == best]
-    return [(t, True) for t, _, _ in lines]
+    if parts:
+        _keep_wrappers(parts, articles, lines)
+    outside = 1 if has_main else 2
+    found = [(t, outside if z == 3 else z, p) for t, z, p, x in lines if not x or x.kept]
+    weights = [len(t) if len(t.split()) >= SHORT_WORDS else 0 for t, _, _ in found]
+    if not any(weights):
+        weights = [len(t) for t, _, _ in found]
+    for best in (2, 1):
+        if sum(w for w, (_, z, _) in zip(weights, found, strict=True) if z >= best) * 2 >= max(sum(weights), 1):
+            return [(t, not p and len(t.split()) < SHORT_WORDS) for t, z, p in found if z >= best]
+    return [(t, True) for t, _, _ in found]
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:

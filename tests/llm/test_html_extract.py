@@ -98,3 +98,21 @@ def test_given_pages_by_their_article(spark):
         article = source[r.page_id].split("<article>")[1].split("</article>")[0]
         want = re.sub(r"<(?:/?(?:p|h1)|br)>", " ", article)
         assert r.text == " ".join(h.unescape(re.sub(r"<[^>]+>", "", want)).split())
+
+
+KEPT = [
+    ("<h1 class='post-title'>T</h1><div class='body'><p>the body text</p></div>", "T the body text"),
+    ("<main><p>the main text</p></main><section><article>teaser</article></section>", "the main text teaser"),
+    ("<div id='top'><article><p>inside a wrapper</p></article></div>", "inside a wrapper"),
+    ("<div class='has-sidebar'><main><p>m</p><div class='sidebar'>s</div></main></div>", "m"),
+    ("<div class='has-sidebar'><p>" + "word " * 9 + "</p><div class='sidebar'><p>s</p></div></div><p>x</p>", "word " * 9 + "x"),
+    ("<article><p>a</p></article><div class='sidebar'><article>teaser</article></div>", "a"),
+    ("<article><p>a</p></article><div class='promo-box'><p>" + "word " * 9 + "</p></div>", "a"),
+    ("<p>a</p><div class='post-comments'><p>" + "word " * 9 + "</p></div>", "a"),
+    ("<p>a</p><div class='cookie-notice'><p>" + "word " * 9 + "</p></div>", "a"),
+]
+
+
+@pytest.mark.parametrize("html, want", KEPT)
+def test_marks_that_do_not_hold_the_text_drop_nothing_else(html, want):
+    assert text_of(html) == want
