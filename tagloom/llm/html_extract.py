@@ -2,9 +2,11 @@
 
 Pages of a host are ordered by URL path, and each is paired with its nearest neighbours. The text lines of a pair are aligned
 by a longest common subsequence, and lines that both pages share are deleted: what a site repeats from page to page is
-its template. Markup limits this from both sides. Lines in menus, headers, footers, sidebars, adverts, forms, comments and the like
+its template. Pages of a host with equal lines count once, so that each distinct page meets its nearest distinct neighbours. Pages
+whose own lines are edits of each other are copies, and so are those that share most of their text and have no own lines. Then, and
+where most of the text is shared, a line has to be shared by half of the host's other pairs as well. Markup limits this from both sides. Lines in menus, headers, footers, sidebars, adverts, forms, comments and the like
 never become lines at all, and where a page marks its article, lines outside are left out and paragraphs inside are not deleted,
-since articles quote and repeat each other too. Pairs that share nearly everything are copies and tell nothing.
+since articles quote and repeat each other too.
 
 Only 64-bit line hashes and URL keys are paired and shuffled; the lines themselves move once, to meet the
 list of places to delete.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -53,6 +56,8 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 _NAME = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
 SHORT_WORDS = 8
 COPY_SHARE = 0.8
+ENDS = 3
+SPREAD = 256
 
 Line = tuple[str, bool]
 
@@ -253,7 +258,7 @@ def _path(url: Column) -> Column:
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
-    """``k1, k2, n1, n2``: each page (k1, k2, host, path) with the next one of its host in path order.
+    """``k1, k2, n1, n2, host``: each page (k1, k2, host, path) with the next one of its host in path order.
 
     The keys are sorted over range partitions; the pairs across two partitions come from each partition's first and last
     key, a table with one row per partition. A host of any size is spread over many tasks.
@@ -267,70 +272,164 @@ def neighbours(keys: DataFrame) -> DataFrame:
     ends = dealt.groupBy("part").agg(F.min(row).alias("_low"))
     ends = ends.select("part", F.lead("_low").over(Window.orderBy("part")).alias("_over"))  # one row per partition
     paired = inside.join(F.broadcast(ends), "part").withColumn("_n", F.coalesce("_next", "_over"))
-    return paired.where(F.col("_n.host") == F.col("host")).select("k1", "k2", F.col("_n.k1").alias("n1"), F.col("_n.k2").alias("n2"))
+    paired = paired.where(F.col("_n.host") == F.col("host"))
+    return paired.select("k1", "k2", F.col("_n.k1").alias("n1"), F.col("_n.k2").alias("n2"), "host")
 
 
-def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashes(lines: list[Line]) -> np.ndarray:
     import xxhash
 
+    return np.array([xxhash.xxh64_intdigest(t) for t, _ in lines], np.uint64).view(np.int64)
+
+
+def _list_hash(hashes: np.ndarray) -> int:
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).view(np.int64))
+
+
+def _ends(text: str) -> int:
+    """The first and the last words of a line as two 16-bit hashes, 0 for a short line."""
+    words = text.split(" ")
+    if len(words) < SHORT_WORDS:
+        return 0
+    head, tail = (zlib.crc32(" ".join(w).encode("utf-8", "replace")) & 0xFFFF for w in (words[:ENDS], words[-ENDS:]))
+    return (head << 16 | tail) - (1 << 31)
+
+
+def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = [page_lines(p.as_py()) for p in batch["html"]]
-        hashes = [np.array([xxhash.xxh64_intdigest(t) for t, _ in x], np.uint64).view(np.int64) for x in lines]
-        sizes = [[len(t) for t, _ in x] for x in lines]
+        hashes = [_hashes(x) for x in lines]
         yield pa.RecordBatch.from_arrays(
-            [batch["k1"], batch["k2"], pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
-            ["k1", "k2", "lines", "sizes"],
+            [batch["h"], batch["path"], pa.array([_list_hash(x) for x in hashes], pa.int64()), pa.array(hashes, pa.list_(pa.int64())),
+             pa.array([[len(t) for t, _ in x] for x in lines], pa.list_(pa.int32())),
+             pa.array([[_ends(t) for t, _ in x] for x in lines], pa.list_(pa.int32()))],
+            ["h", "path", "d", "lines", "sizes", "ends"],
         )
 
 
+def differ(own_a: list[tuple[int, int]], own_b: list[tuple[int, int]]) -> bool:
+    """Whether both pages have lines ``(size, ends)`` of their own that are no edits of the other's: lines with the same first or
+    last words hold less than half of them."""
+    if not own_a or not own_b:
+        return False
+    for x, y in ((own_a, own_b), (own_b, own_a)):
+        heads, tails = {e >> 16 for _, e in y if e}, {e & 0xFFFF for _, e in y if e}
+        edits = sum(n for n, e in x if e and (e >> 16 in heads or e & 0xFFFF in tails))
+        if 2 * edits >= sum(n for n, _ in x):
+            return False
+    return True
+
+
 def _share_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns = ("k1", "n1", "h", "a", "b", "sa", "sb", "ea", "eb")
     for batch in batches:
         rows = []
         d = batch.to_pydict()
-        for k1, k2, n1, n2, a, b, sa, sb in zip(*(d[c] for c in ("k1", "k2", "n1", "n2", "a", "b", "sa", "sb")), strict=True):
+        for k1, n1, h, a, b, sa, sb, ea, eb in zip(*(d[c] for c in columns), strict=True):
             pairs = common_lines(a, b)
-            shared = sum(sa[i] for i, _ in pairs)
-            if pairs and shared < COPY_SHARE * max(sum(sa), sum(sb)):
-                rows += [(k1, k2, [i for i, _ in pairs]), (n1, n2, [j for _, j in pairs])]
+            i, j = [x for x, _ in pairs], [y for _, y in pairs]
+            in_a, in_b = set(i), set(j)
+            own_a = [(n, e) for k, (n, e) in enumerate(zip(sa, ea, strict=True)) if k not in in_a]
+            own_b = [(n, e) for k, (n, e) in enumerate(zip(sb, eb, strict=True)) if k not in in_b]
+            differs = differ(own_a, own_b)
+            edited = bool(own_a and own_b) and not differs
+            near = edited or sum(sa[x] for x in i) >= COPY_SHARE * max(sum(sa), sum(sb))
+            rows.append((k1, n1, h, near, differs, i, j, [a[x] for x in i]))
         if rows:
-            x, y, z = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(z, pa.list_(pa.int32()))], ["k1", "k2", "shared"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
+            arrays = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["k1", "n1", "h", "near", "differ", "i", "j", "lines"])
 
 
 def _text_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = [page_lines(p.as_py()) for p in batch["html"]]
         yield pa.RecordBatch.from_arrays(
-            [batch["page_id"], batch["url"], batch["k1"], batch["k2"],
+            [batch["page_id"], batch["url"], batch["h"], pa.array([_list_hash(_hashes(x)) for x in lines], pa.int64()),
              pa.array([[t for t, _ in x] for x in lines], pa.list_(pa.string())),
              pa.array([[k for k, (_, d) in enumerate(x) if d] for x in lines], pa.list_(pa.int32()))],
-            ["page_id", "url", "k1", "k2", "lines", "open"],
+            ["page_id", "url", "h", "d", "lines", "open"],
         )
 
 
+def _spread_join(rows: DataFrame, table: DataFrame, on: list[str], sizes: DataFrame, salt: Column) -> DataFrame:
+    """Left join with a ``table`` that is unique on ``on``. ``sizes`` (on, size) tells how many rows a key has: keys with more than
+    ``SPREAD`` rows, of which there are few, are cut into cells, and the table's row goes to each cell."""
+    hot = F.broadcast(sizes.where(F.col("size") > SPREAD).select(*on, F.ceil(F.col("size") / SPREAD).cast("int").alias("_cells")))
+    cells = F.coalesce("_cells", F.lit(1))
+    left = rows.join(hot, on, "left").withColumn("_cell", F.pmod(salt, cells).cast("int")).drop("_cells")
+    right = table.join(hot, on, "left").withColumn("_cell", F.explode(F.sequence(F.lit(0), cells - 1))).drop("_cells")
+    return left.join(right, [*on, "_cell"], "left").drop("_cell")
+
+
+def _templates(told: DataFrame) -> DataFrame:
+    """``h, size, pairs, template``: the pairs of each host, those whose lines differ, and the lines that at least two and half of these
+    share. A list has at most twice as many lines as a pair shares on average."""
+    hosts = told.groupBy("h").agg(F.count("*").alias("size"), F.sum(F.col("differ").cast("long")).alias("pairs"))
+    seen = told.where("differ").select("h", F.explode(F.array_distinct("lines")).alias("line"))
+    seen = seen.groupBy("h", "line").agg(F.count("*").alias("n")).where("n >= 2")
+    seen = _spread_join(seen, hosts.select("h", "pairs"), ["h"], hosts.select("h", "size"), F.col("line"))
+    found = seen.where("2 * n >= pairs").groupBy("h").agg(F.collect_list("line").alias("template"))
+    return hosts.join(found, "h", "left")
+
+
+def _page_places(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``d, h, loose`` for each distinct list of lines of a host: places of lines to delete where they are deletable; and ``d, h,
+    size``, the number of pages with that list."""
+    hashed = pages.select("h", "path", "html").mapInArrow(
+        _hash_lines, "h long, path string, d long, lines array<long>, sizes array<int>, ends array<int>"
+    )
+    distinct = hashed.groupBy("d", "h").agg(
+        F.min("path").alias("path"), F.count("*").alias("size"), *[F.first(c).alias(c) for c in ("lines", "sizes", "ends")]
+    )
+    distinct = stored(distinct, "line-lists")
+    some = distinct.where(F.size("lines") > 0)
+    pairs = neighbours(some.select(F.col("d").alias("k1"), F.col("h").alias("k2"), F.col("h").alias("host"), "path"))
+    lists = [F.col("lines"), F.col("sizes"), F.col("ends")]
+    left = some.select(F.col("d").alias("k1"), "h", *[c.alias(n) for c, n in zip(lists, ("a", "sa", "ea"), strict=True)])
+    right = some.select(F.col("d").alias("n1"), "h", *[c.alias(n) for c, n in zip(lists, ("b", "sb", "eb"), strict=True)])
+    both = pairs.select("k1", "n1", F.col("host").alias("h")).join(left, ["k1", "h"]).join(right, ["n1", "h"])
+    told = both.mapInArrow(
+        _share_lines, "k1 long, n1 long, h long, near boolean, differ boolean, i array<int>, j array<int>, lines array<long>"
+    )
+    told = stored(told, "shared-lines")
+    hosts = stored(_templates(told), "templates")
+    rows = _spread_join(told, hosts.drop("size"), ["h"], hosts.select("h", "size"), F.col("k1"))
+    every = ~F.col("near") | F.col("differ") & (F.col("pairs") == 1)
+
+    def chosen(places: str) -> Column:
+        in_template = F.filter(places, lambda _, k: F.array_contains("template", F.get("lines", k)))
+        return F.when(every, F.col(places)).when(F.col("template").isNotNull(), in_template)
+
+    sides = rows.select(F.col("k1").alias("d"), "h", chosen("i").alias("loose")).unionByName(
+        rows.select(F.col("n1").alias("d"), "h", chosen("j").alias("loose"))
+    )
+    places = sides.where(F.size("loose") > 0).groupBy("d", "h").agg(F.array_distinct(F.flatten(F.collect_list("loose"))).alias("loose"))
+    return places, distinct.select("d", "h", "size")
+
+
+def _split_pages(pages: DataFrame) -> DataFrame:
+    """``page_id, url, lines, gone``: the lines of every page and the places of those to delete."""
+    keyed = pages.select("page_id", "url", "html", F.xxhash64(_host(F.col("url"))).alias("h"), _path(F.col("url")).alias("path"))
+    places, sizes = _page_places(keyed)
+    out = "page_id long, url string, h long, d long, lines array<string>, open array<int>"
+    lines = keyed.select("page_id", "url", "h", "html").mapInArrow(_text_lines, out)
+    lines = _spread_join(lines, places, ["d", "h"], sizes, F.xxhash64("page_id", "url"))
+    none = F.array().cast("array<int>")
+    return lines.withColumn("gone", F.array_intersect("open", F.coalesce("loose", none)))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages`` (page_id, url, html).
 
-    Null and empty html give an empty text; pages without a host are a host of their own; repeated rows have one place in
-    the order and equal results. Other columns are not read.
+    Null and empty html give an empty text; pages without a host are a host of their own; pages of a host with equal lines have one
+    place in the order, at their first path, and equal deletions. Other columns are not read.
     """
-    keyed = pages.select(
-        "page_id", "url", "html", F.xxhash64("page_id", "url").alias("k1"), F.xxhash64("html").alias("k2")
-    )
-    pairs = neighbours(keyed.select("k1", "k2", _host(F.col("url")).alias("host"), _path(F.col("url")).alias("path")).distinct())
-    hashed = keyed.select("k1", "k2", "html").mapInArrow(_hash_lines, "k1 long, k2 long, lines array<long>, sizes array<int>")
-    hashed = stored(hashed, "line-hashes").dropDuplicates(["k1", "k2"])
-    left = hashed.select("k1", "k2", F.col("lines").alias("a"), F.col("sizes").alias("sa"))
-    right = hashed.select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("lines").alias("b"), F.col("sizes").alias("sb"))
-    both = pairs.join(left, ["k1", "k2"]).join(right, ["n1", "n2"])
-    shared = both.mapInArrow(_share_lines, "k1 long, k2 long, shared array<int>")
-    shared = shared.groupBy("k1", "k2").agg(F.flatten(F.collect_list("shared")).alias("shared"))  # from at most two pairs
-    out = "page_id long, url string, k1 long, k2 long, lines array<string>, open array<int>"
-    lines = keyed.mapInArrow(_text_lines, out).join(shared, ["k1", "k2"], "left")
-    none = F.array().cast("array<int>")
-    lines = lines.withColumn("_gone", F.array_intersect("open", F.coalesce("shared", none)))
-    kept = F.when(F.size("_gone") == 0, F.col("lines")).otherwise(
-        F.filter("lines", lambda x, k: ~F.array_contains(F.col("_gone"), k))
+    lines = _split_pages(pages)
+    kept = F.when(F.size("gone") == 0, F.col("lines")).otherwise(
+        F.filter("lines", lambda x, k: ~F.array_contains(F.col("gone"), k))
     )
     text = lines.select("page_id", "url", F.array_join(kept, " ").alias("text"))
     return text.withColumn("n_chars", F.length("text").cast("long"))

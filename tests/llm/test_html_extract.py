@@ -116,3 +116,37 @@ KEPT = [
 @pytest.mark.parametrize("html, want", KEPT)
 def test_marks_that_do_not_hold_the_text_drop_nothing_else(html, want):
     assert text_of(html) == want
+
+
+WORDS = "amber birch cedar delta ember fjord grove heath inlet jetty knoll ledge marsh north ocean prairie quarry ridge".split()
+
+
+def prose(seed, n=20):
+    rnd = random.Random(seed)
+    return " ".join(rnd.choice(WORDS) + str(rnd.randint(0, 99)) for _ in range(n))
+
+
+def texts_of(spark, rows):
+    return {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+@pytest.mark.parametrize("n", [2, 3, 9])
+def test_short_articles_in_a_large_template(spark, n):
+    frame = f"<body><div>{prose('menu', 80)}</div><div>{{}}</div><div>{prose('foot', 80)}</div></body>"
+    out = texts_of(spark, [(k, *page("h", f"a/{k}", frame.format(prose(k)))) for k in range(n)])
+    assert out == {k: prose(k) for k in range(n)}
+
+
+def test_runs_of_copies_lose_their_template(spark):
+    frame = f"<body><div>{prose('menu')}</div><div>{{}}</div></body>"
+    bodies = [prose("first", 30), *[prose("copied", 30)] * 5, prose("last", 30)]
+    out = texts_of(spark, [(k, *page("h", f"a/{k}", frame.format(x))) for k, x in enumerate(bodies)])
+    assert out == dict(enumerate(bodies))
+
+
+def test_edited_copies_keep_their_text(spark):
+    lines = [prose(k) for k in range(8)]
+    rows = [(k, *page("h", f"a/{k}", "".join(f"<p>{x} {k}</p>" if j == k else f"<p>{x}</p>" for j, x in enumerate(lines)))) for k in range(6)]
+    rows += [(9, *page("h", "a/9", "".join(f"<p>{x}</p>" for x in lines)))]
+    out = texts_of(spark, rows)
+    assert all(set(" ".join(lines).split()) <= set(t.split()) for t in out.values())
