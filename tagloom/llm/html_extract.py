@@ -6,7 +6,8 @@ its template. Pages of a host with equal lines count once, so that each distinct
 whose own lines are edits of each other are copies, and so are those that share most of their text and have no own lines. Then, and
 where most of the text is shared, a line has to be shared by half of the host's other pairs as well. Markup limits this from both sides. Lines in menus, headers, footers, sidebars, adverts, forms, comments and the like
 never become lines at all, and where a page marks its article, lines outside are left out and paragraphs inside are not deleted,
-since articles quote and repeat each other too.
+since articles quote and repeat each other too, unless the host gives evidence: paragraphs and long lines go if a URL neighbour has them at
+an aligned place and so have at least ``FIRM_PAIRS`` and half of the host's pairs of pages that differ in their other lines.
 
 Only 64-bit line hashes and URL keys are paired and shuffled; the lines themselves move once, to meet the
 list of places to delete.
@@ -57,6 +58,7 @@ _NAME = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
 SHORT_WORDS = 8
 COPY_SHARE = 0.8
 ENDS = 3
+FIRM_PAIRS = 4
 SPREAD = 256
 
 Line = tuple[str, bool]
@@ -365,19 +367,20 @@ def _spread_join(rows: DataFrame, table: DataFrame, on: list[str], sizes: DataFr
 
 
 def _templates(told: DataFrame) -> DataFrame:
-    """``h, size, pairs, template``: the pairs of each host, those whose lines differ, and the lines that at least two and half of these
-    share. A list has at most twice as many lines as a pair shares on average."""
+    """``h, size, pairs, template, firm``: the pairs of each host, those whose lines differ, and the lines that at least two
+    (``firm``: ``FIRM_PAIRS``) and half of these share. A list has at most twice as many lines as a pair shares on average."""
     hosts = told.groupBy("h").agg(F.count("*").alias("size"), F.sum(F.col("differ").cast("long")).alias("pairs"))
     seen = told.where("differ").select("h", F.explode(F.array_distinct("lines")).alias("line"))
     seen = seen.groupBy("h", "line").agg(F.count("*").alias("n")).where("n >= 2")
     seen = _spread_join(seen, hosts.select("h", "pairs"), ["h"], hosts.select("h", "size"), F.col("line"))
-    found = seen.where("2 * n >= pairs").groupBy("h").agg(F.collect_list("line").alias("template"))
+    firm = F.collect_list(F.when(F.col("n") >= FIRM_PAIRS, F.col("line"))).alias("firm")
+    found = seen.where("2 * n >= pairs").groupBy("h").agg(F.collect_list("line").alias("template"), firm)
     return hosts.join(found, "h", "left")
 
 
 def _page_places(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``d, h, loose`` for each distinct list of lines of a host: places of lines to delete where they are deletable; and ``d, h,
-    size``, the number of pages with that list."""
+    """``d, h, loose, firm`` for each distinct list of lines of a host: places of lines to delete where they are deletable, and of those
+    to delete anywhere; and ``d, h, size``, the number of pages with that list."""
     hashed = pages.select("h", "path", "html").mapInArrow(
         _hash_lines, "h long, path string, d long, lines array<long>, sizes array<int>, ends array<int>"
     )
@@ -399,14 +402,16 @@ def _page_places(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = _spread_join(told, hosts.drop("size"), ["h"], hosts.select("h", "size"), F.col("k1"))
     every = ~F.col("near") | F.col("differ") & (F.col("pairs") == 1)
 
-    def chosen(places: str) -> Column:
-        in_template = F.filter(places, lambda _, k: F.array_contains("template", F.get("lines", k)))
-        return F.when(every, F.col(places)).when(F.col("template").isNotNull(), in_template)
+    def chosen(places: str, lines: str) -> Column:
+        held = F.filter(places, lambda _, k: F.array_contains(lines, F.get("lines", k)))
+        return F.when(F.col(lines).isNull(), F.array().cast("array<int>")).otherwise(held)
 
-    sides = rows.select(F.col("k1").alias("d"), "h", chosen("i").alias("loose")).unionByName(
-        rows.select(F.col("n1").alias("d"), "h", chosen("j").alias("loose"))
-    )
-    places = sides.where(F.size("loose") > 0).groupBy("d", "h").agg(F.array_distinct(F.flatten(F.collect_list("loose"))).alias("loose"))
+    def side(page: str, places: str) -> DataFrame:
+        loose = F.when(every, F.col(places)).otherwise(chosen(places, "template"))
+        return rows.select(F.col(page).alias("d"), "h", loose.alias("loose"), chosen(places, "firm").alias("firm"))
+
+    sides = side("k1", "i").unionByName(side("n1", "j")).where((F.size("loose") > 0) | (F.size("firm") > 0))
+    places = sides.groupBy("d", "h").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("loose", "firm")])
     return places, distinct.select("d", "h", "size")
 
 
@@ -418,7 +423,18 @@ def _split_pages(pages: DataFrame) -> DataFrame:
     lines = keyed.select("page_id", "url", "h", "html").mapInArrow(_text_lines, out)
     lines = _spread_join(lines, places, ["d", "h"], sizes, F.xxhash64("page_id", "url"))
     none = F.array().cast("array<int>")
-    return lines.withColumn("gone", F.array_intersect("open", F.coalesce("loose", none)))
+    loose = F.array_intersect("open", F.coalesce("loose", none))
+    return lines.withColumn("gone", F.array_union(loose, F.coalesce("firm", none)))
+
+
+def deleted_lines(pages: DataFrame) -> DataFrame:
+    """``pages, lines, deleted, deleted_on_host_evidence``: one row that says how many lines differencing deletes from ``pages``, and how
+    many of them only because the host repeats them."""
+    rows = _split_pages(pages)
+    firm = F.size(F.array_except("gone", "open"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in (F.size("lines"), F.size("gone"), firm)]
+    names = ("lines", "deleted", "deleted_on_host_evidence")
+    return rows.agg(F.count("*").alias("pages"), *[c.alias(n) for c, n in zip(sums, names, strict=True)])
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from tagloom.llm.html_extract import common_lines, main_text, neighbours, page_lines
+from tagloom.llm.html_extract import common_lines, deleted_lines, main_text, neighbours, page_lines
 
 
 def text_of(html):
@@ -150,3 +150,22 @@ def test_edited_copies_keep_their_text(spark):
     rows += [(9, *page("h", "a/9", "".join(f"<p>{x}</p>" for x in lines)))]
     out = texts_of(spark, rows)
     assert all(set(" ".join(lines).split()) <= set(t.split()) for t in out.values())
+
+
+def test_notices_inside_marked_articles_go_and_quotes_stay(spark):
+    notice, advert, quote = prose("notice"), prose("advert"), prose("quote")
+    frame = "<article><p>{}</p><p>" + notice + "</p>{}<p>{}</p><ul><li>Subscribe now</li></ul><div>" + advert + "</div></article>"
+    quoted = (3, 7)
+    rows = [(k, *page("h", f"a/{k}", frame.format(prose(k), f"<p>{quote}</p>" if k in quoted else "", prose(k + 100)))) for k in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert out == {k: " ".join([prose(k), *[quote] * (k in quoted), prose(k + 100)]) for k in range(10)}
+    report = deleted_lines(pages).first().asDict()
+    assert report == {"pages": 10, "lines": 52, "deleted": 30, "deleted_on_host_evidence": 30}
+
+
+def test_edited_copies_of_a_marked_article_are_no_evidence(spark):
+    lines = [prose(k) for k in range(8)]
+    body = lambda k: "".join(f"<p>{x} {k}</p>" if j == k % 8 else f"<p>{x}</p>" for j, x in enumerate(lines))
+    out = texts_of(spark, [(k, *page("h", f"a/{k}", f"<article>{body(k)}</article>")) for k in range(12)])
+    assert all(set(" ".join(lines).split()) <= set(t.split()) for t in out.values())
