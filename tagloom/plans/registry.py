@@ -593,9 +593,9 @@ def coverage_rates(spark, sf):
     return rounded(labels.coverage_rates(rows, "ntags", "predicted", "words"), "tag_coverage", "word_coverage")
 
 
-def bow_run(spark, sf, **setting) -> experiments.Run:
+def bow_run(spark, sf, nb_tags: int = 100, **setting) -> experiments.Run:
     return experiments.supervised_bow(
-        prepared_questions(spark, sf), nb_tags=10, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
+        prepared_questions(spark, sf), nb_tags=nb_tags, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
         title_min_df=TITLE_RANGE[0], title_max_df=TITLE_RANGE[1], **setting,
     )
 
@@ -606,7 +606,7 @@ def supervised_bow(spark, sf):
 
 
 def supervised_bow_hinge(spark, sf):
-    run = bow_run(spark, sf, vect="count", loss="hinge", scaler=False, max_iter=10)
+    run = bow_run(spark, sf, nb_tags=10, vect="count", loss="hinge", scaler=False, max_iter=10)
     return run.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
 
 
@@ -616,7 +616,7 @@ def scored_rows(run: experiments.Run) -> DataFrame:
 
 
 def supervised_bow_rows(spark, sf):
-    return scored_rows(bow_run(spark, sf, vect="count", loss="squared_error", scaler=False))
+    return scored_rows(bow_run(spark, sf, nb_tags=10, vect="count", loss="squared_error", scaler=False))
 
 
 def binary_relevance_rows(spark, sf):
@@ -716,7 +716,7 @@ def topic_share(spark, sf):
 
 def unsupervised(spark, sf):
     run = experiments.unsupervised(
-        prepared_questions(spark, sf), nb_tags=20, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
+        prepared_questions(spark, sf), nb_tags=50, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
         title_min_df=TITLE_RANGE[0], title_max_df=TITLE_RANGE[1], num_topics=10,
     )
     return run.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
@@ -760,7 +760,7 @@ def config_name_mapped(spark, sf):
     return rows.select("loss", "vect", "nb_tags", grid.config_name_column(rows.columns).alias("name"))
 
 
-def grid_config(nb_tags=(5, 10)) -> dict:
+def grid_config(nb_tags=(50, 100)) -> dict:
     return {
         "type": "embedding",
         "model_params": {"loss": ["squared_error"]},
@@ -768,24 +768,24 @@ def grid_config(nb_tags=(5, 10)) -> dict:
     }
 
 
-def run_grid(spark, sf):
+def run_grid(spark, sf, nb_tags=(50, 100)):
     path = scratch_path(spark, "grid")
     vecs = materialise(vector_rows(spark, sf).select(F.col("vec_id").alias("Id"), "embedding"))
-    grid.run_grid(materialise(tagged(spark, sf)), grid_config(), path, vecs)
+    grid.run_grid(materialise(tagged(spark, sf)), grid_config(nb_tags), path, vecs)
     return results.load_results(spark, f"{path}/predictions").select(
         "run", "Id", joined("truth").alias("truth"), joined("predicted").alias("predicted")
     )
 
 
 def run_grid_rows(spark, sf):
-    """Every run of the grid with its test rows and true labels."""
-    return run_grid(spark, sf).select("run", "Id", "truth")
+    """Every run of a small grid with its test rows and true labels."""
+    return run_grid(spark, sf, (5, 10)).select("run", "Id", "truth")
 
 
 def results_table(spark, sf):
     path = scratch_path(spark, "grid")
     vecs = materialise(vector_rows(spark, sf).select(F.col("vec_id").alias("Id"), "embedding"))
-    grid.run_grid(materialise(tagged(spark, sf)), grid_config((5,)), path, vecs)
+    grid.run_grid(materialise(tagged(spark, sf)), grid_config(), path, vecs)
     return grid.results_table(spark, {path: "w2v"})
 
 

@@ -153,3 +153,27 @@ def test_arrays_are_computed_once(spark):
         questions.document_posts(spark, SMALL, False).select(F.split("Body", " ").alias("t")), "t", "doc_count")
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_squared_error_and_topic_queries_run_with_the_whole_tag_settings(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from tagloom.plans import registry
+
+    asked = []
+
+    def stop(*_, nb_tags=None, **__):
+        asked.append(nb_tags)
+        raise StopIteration
+
+    for name in ("prepared_questions", "tagged", "vector_rows", "materialise", "scratch_path"):
+        monkeypatch.setattr(registry, name, lambda *_: MagicMock())
+    monkeypatch.setattr(registry, "F", MagicMock())
+    monkeypatch.setattr(registry.experiments, "supervised_bow", stop)
+    monkeypatch.setattr(registry.experiments, "unsupervised", stop)
+    monkeypatch.setattr(registry.grid, "run_grid", lambda _, config, *__: stop(nb_tags=config["params"]["nb_tags"]))
+    names = ("supervised_bow", "model_store_predict_supervised", "suggest_tags_models", "unsupervised", "run_grid", "results_table")
+    for name in names:
+        with pytest.raises(StopIteration):
+            registry.QUERIES[name](None, "")
+    assert asked == [100, 100, 100, 50, [50, 100], [50, 100]]
