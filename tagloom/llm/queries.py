@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import (
-    decontaminate, html_extract, jaccard_tree, packing, quality, secrets, sharding, token_counts, toxicity, warc,
+    decontaminate, html_extract, jaccard_tree, packing, phrases, quality, secrets, sharding, token_counts, toxicity, warc,
 )
 from tagloom.llm.common import read
 
@@ -54,15 +54,21 @@ def op10_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_extract.main_text(read(spark, sf, "pages"))
 
 
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine_phrases(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_toxicity, op2_warc_revisits, op3_jaccard_tree_join, op4_best_fit_packing, op5_token_counts,
         op6_balanced_sharding, op7_secret_scan, op8_host_quality, op9_decontamination, op10_main_text,
+        op11_phrases,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_warc_revisits": warc.ORACLE,
     "op8_host_quality": quality.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
+    "op11_phrases": phrases.ORACLE,
 }
