@@ -3,17 +3,20 @@
 A hash sample of the documents proposes phrases: every phrase of up to four words that is frequent in the sample at a lowered
 bound. One full pass then counts exactly, over all documents, the proposed phrases and their negative border: each word, and each
 longer phrase whose first and whose last words (all but one) are both proposed. The border is never listed; the pass counts what
-occurs of it. A border phrase that turns out frequent is a failure: it joins the proposed phrases, and a further pass counts
-what thereby became countable. Without failures every frequent phrase has been counted (its parts are all frequent, so all
-are proposed), and the result is exact whatever the sample held.
-
-The proposed phrases are sent as a bit table of fixed size (two bits a phrase), whatever their number. A phrase that only
-seems to be proposed is counted too, so false positives cost time and never change the result.
+occurs of it. A border phrase that turns out frequent is a failure, and a further pass counts what the failures had kept out:
+the phrases that contain one, have frequent words only and were not counted before. Then the count is closed: a frequent phrase
+that the first pass left out has a smallest part that was not proposed; that part lies on the border and is frequent, so it
+is a failure, and the second pass counts the phrase. The result is exact whatever the sample held.
+
+The proposed phrases are sent as a bit table of fixed size (two bits a phrase), whatever their number, and so are the
+failures. A phrase that only seems to be proposed is counted too, so false positives cost time and never change the result. Within a
+task, equal phrases are told by a hash of 64 bits before Spark adds up the counts by the phrases themselves.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,71 +25,100 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mixed, stored, word_hashes
+from tagloom.llm.common import mixed, stored
 
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 SAMPLE_SHARE = 8  # one of so many documents
-SAMPLE_SLACK = 2.5  # the bound in the sample is so many times below its share of the full bound
+SAMPLE_SLACK = 1.25  # the bound in the sample is so many times below its share of the full bound
 FILTER_BITS = 1 << 27
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 HOT_PARTS = 2000
 NO_LANG = "und"
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[*b".,;:!?", 10, 11, 12, 13]] = True
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[32, 9]] = True
+_WORD = ~_SEPARATOR
+_WORD[[32, 9]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of about ``most`` bytes of the texts, each text closed by a line end and each run ending at a separator, so
-    that no piece is cut: ``(bytes, place of each text's first byte, counted from the run's)``. A piece longer than ``most`` is not cut."""
+    that no piece is cut: ``(first row, bytes, places of the first bytes of the texts from that row on)``. Only a piece longer than
+    ``most`` makes a longer run."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     big = pa.large_string()
-    closed = pc.binary_join_element_wise(column.cast(big).fill_null(""), pa.scalar("", big), pa.scalar("\n", big))
-    if not len(closed):
-        return
-    bounds = np.frombuffer(closed.buffers()[1], dtype=np.int64)[closed.offset : closed.offset + len(closed) + 1]
-    data = np.frombuffer(closed.buffers()[2], dtype=np.uint8)
-    a, end = int(bounds[0]), int(bounds[-1])
-    while a < end:
-        b = min(a + most, end)
-        if b < end:
-            ends = np.flatnonzero(_SEPARATOR[data[a:b]])
-            if len(ends):
-                b = a + int(ends[-1]) + 1
-            else:
-                while not _SEPARATOR[data[b - 1]]:
-                    step = np.flatnonzero(_SEPARATOR[data[b : b + most]])
-                    b = b + int(step[0]) + 1 if len(step) else min(b + most, end)
-        yield data[a:b], bounds - a
-        a = b
+    column = column.cast(big)
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0)) + 1)
+    row = 0
+    while row < len(ends):
+        last = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + most, side="right")))
+        part = column.slice(row, last - row).fill_null("")
+        closed = pc.binary_join_element_wise(part, pa.scalar("", big), pa.scalar("\n", big))
+        bounds = np.frombuffer(closed.buffers()[1], dtype=np.int64)[closed.offset : closed.offset + len(closed) + 1]
+        data = np.frombuffer(closed.buffers()[2], dtype=np.uint8)
+        a, end = int(bounds[0]), int(bounds[-1])
+        while a < end:
+            b = min(a + most, end)
+            if b < end:
+                cuts = np.flatnonzero(_SEPARATOR[data[a:b]])
+                if len(cuts):
+                    b = a + int(cuts[-1]) + 1
+                else:
+                    while not _SEPARATOR[data[b - 1]]:
+                        step = np.flatnonzero(_SEPARATOR[data[b : b + most]])
+                        b = b + int(step[0]) + 1 if len(step) else min(b + most, end)
+            yield row, data[a:b], bounds - a
+            a = b
+        row = last
+
+
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+_LONG_WORD = 256
+
+
+def _hashes(norm: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each word ``norm[at[i] : at[i] + lengths[i]]``, eight bytes at a time; very long words by a digest."""
+    padded = np.r_[norm, np.zeros(8, np.uint8)]
+    eights = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(norm) + 1,), (1,))
+    out = mixed(lengths.astype(np.uint64) + _STEP)
+    todo = np.arange(len(at))
+    long = lengths > _LONG_WORD
+    if long.any():
+        for k in np.flatnonzero(long).tolist():
+            digest = hashlib.blake2b(norm[at[k] : at[k] + lengths[k]].tobytes(), digest_size=8).digest()
+            out[k] = int.from_bytes(digest, "little")
+        todo = todo[~long]
+    done = 0
+    while len(todo):
+        rest = lengths[todo] - done
+        out[todo] = mixed((out[todo] ^ (eights[at[todo] + done] & _MASKS[np.minimum(rest, 8)])) + _STEP)
+        done += 8
+        todo = todo[rest > 8]
+    return out
 
 
 class Block:
     """The words of one run of text: ``norm`` has them lower-cased and parted by single blanks, word ``i`` at ``at[i]``."""
 
-    def __init__(self, raw: np.ndarray, firsts: np.ndarray, seeds: np.ndarray):
+    def __init__(self, row: int, raw: np.ndarray, firsts: np.ndarray, seeds: np.ndarray):
         data = _LOWER[raw]
-        separator = _SEPARATOR[data]
-        word = ~(separator | _BLANK[data])
-        edge = np.diff(np.r_[np.int8(0), word.view(np.int8)])
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        word = _WORD[data]
+        edge = np.flatnonzero(np.r_[word[:1], word[1:] != word[:-1]])
+        starts, ends = edge[::2], edge[1::2]  # a run ends at a separator, so each word has an end
         self.count = len(starts)
-        self.row = np.searchsorted(firsts, starts, side="right") - 1
-        self.piece = np.cumsum(separator, dtype=np.int64)[starts]
-        keep = word
-        keep[ends] = True
+        self.row = row + np.searchsorted(firsts, starts, side="right") - 1
+        self.piece = np.searchsorted(np.flatnonzero(_SEPARATOR[data]), starts)
+        word[ends] = True
         data[ends] = 32
-        self.norm = data[keep]
+        self.norm = data[word]
         self.at = np.r_[0, np.cumsum(ends - starts + 1)]
-        self.words = word_hashes(self.norm, np.array([0, len(self.norm)]))[0] if self.count else np.zeros(0, np.uint64)
+        self.words = _hashes(self.norm, self.at[:-1], ends - starts)
         self.first = mixed(self.words ^ seeds[self.row]) if self.count else self.words
 
     def longer(self, hashes: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
@@ -123,100 +155,152 @@ def _positions(bits: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     return h & mask, (h >> np.uint64(32)) & mask
 
 
-def countable(block: Block, sizes: int, now: np.ndarray | None, before: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(size, places, hashes)`` of the phrases to count: those of ``size`` words whose first and last ``size - 1`` words
-    are in the filter ``now``, and not both in ``before``. Without ``now`` the words only; with ``before`` no words."""
-    hashes, places = block.first, np.arange(block.count)
-    if before is None:
-        yield 1, places, hashes
+Places = Iterator[tuple[int, np.ndarray, np.ndarray]]
+
+
+def countable(block: Block, sizes: int, now: np.ndarray | None) -> Places:
+    """``(size, places, hashes)`` of all words, and of the longer phrases whose first and last ``size - 1`` words are proposed.
+    A phrase is proposed if it is countable itself and in the filter ``now``."""
+    hashes = block.first
+    yield 1, np.arange(block.count), hashes
     if now is None:
         return
     known = _in_filter(now, hashes)
-    old = _in_filter(before, hashes) if before is not None else np.zeros(0, dtype=bool)
     for size in range(2, sizes + 1):
         # ``known[i]`` tells of the phrase of one word less at place ``i`` of the block.
-        able = known[:-1] & known[1:]
-        able = able[: max(block.count - size + 1, 0)] & (block.piece[: max(block.count - size + 1, 0)] == block.piece[size - 1 :])
-        places = np.flatnonzero(able)
-        full = np.zeros(block.count, dtype=np.uint64)
-        full[places] = block.longer(hashes[places], places, size)
-        hashes = full
-        was = np.zeros(block.count, dtype=bool)
-        if before is not None:
-            was[places] = old[places] & old[places + 1]
-            fresh = places[~was[places]]
-        else:
-            fresh = places
-        yield size, fresh, hashes[fresh]
+        n = max(block.count - size + 1, 0)
+        places = np.flatnonzero((known[:-1] & known[1:])[:n] & (block.piece[:n] == block.piece[size - 1 :]))
+        made = block.longer(hashes[places], places, size)
+        yield size, places, made
+        known, hashes = np.zeros(block.count, dtype=bool), np.zeros(block.count, dtype=np.uint64)
+        hashes[places] = made
         if size < sizes:
-            known = np.zeros(block.count, dtype=bool)
-            known[places] = _in_filter(now, hashes[places])
-            if before is not None:
-                was[was] = _in_filter(before, hashes[was])
-                old = was
-
-
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values, the place of one of each, and how often each occurs."""
+            known[places] = _in_filter(now, made)
+
+
+def kept_out(block: Block, sizes: int, now: np.ndarray, failed: np.ndarray) -> Places:
+    """``(size, places, hashes)`` of the phrases that contain one of the ``failed``, have words of ``now`` or ``failed`` only and
+    are not countable with ``now``."""
+    holds = np.zeros(block.count, dtype=bool)
+    words = _in_filter(now, block.first) | _in_filter(failed, block.first)
+    all_hashes, whole = block.first, words
+    for size, places, hashes in countable(block, sizes, now):
+        able = np.zeros(block.count, dtype=bool)
+        able[places] = True
+        if size > 1:
+            n = max(block.count - size + 1, 0)
+            whole = whole[:n] & words[size - 1 :] & (block.piece[:n] == block.piece[size - 1 :])
+            holds = (holds[:n] | holds[1 : n + 1]) & whole
+            fresh = np.flatnonzero(holds & ~able[:n])
+            full = np.zeros(block.count, dtype=np.uint64)
+            full[:n][whole] = block.longer(all_hashes[:n][whole], np.flatnonzero(whole), size)
+            all_hashes = full
+            yield size, fresh, full[fresh]
+            tail = np.zeros(block.count - n, dtype=bool)
+            holds, whole = np.r_[holds, tail], np.r_[whole, tail]
+        holds[places] |= _in_filter(failed, hashes)
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, the place of one of each, the order that sorts all, and where each value begins in it."""
     order = np.argsort(hashes)
     sorted_ = hashes[order]
     heads = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]]) if len(hashes) else np.zeros(0, np.int64)
-    return sorted_[heads], order[heads], np.diff(np.r_[heads, len(hashes)])
+    return sorted_[heads], order[heads], order, heads
 
 
 def _langs_of(batch: pa.RecordBatch) -> pa.Array:
     return batch["lang"].cast(pa.string()).fill_null(NO_LANG)
 
 
+class Tally:
+    """Counts of phrases by hash, with what tells of each; given out in batches when ``most`` rows do not shrink any more."""
+
+    def __init__(self, names: list[str], most: int):
+        self.names, self.most, self.rows, self.parts = names, most, 0, []
+
+    def add(self, hashes: np.ndarray, times: np.ndarray, *told: pa.Array) -> Iterator[pa.RecordBatch]:
+        self.parts.append((hashes, times, *told))
+        self.rows += len(hashes)
+        if self.rows > self.most:
+            self.merge()
+            if self.rows > self.most // 2:
+                yield from self.out()
+
+    def merge(self) -> None:
+        if len(self.parts) > 1:
+            hashes, times = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1))
+            values, one, order, heads = _distinct(hashes)
+            index = pa.array(one)
+            told = [pa.concat_arrays([p[k] for p in self.parts]).take(index) for k in range(2, len(self.parts[0]))]
+            self.parts, self.rows = [(values, np.add.reduceat(times[order], heads), *told)], len(values)
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        for hashes, times, *told in self.parts:
+            columns = told or [pa.array(hashes.view(np.int64))]
+            batch = pa.RecordBatch.from_arrays([*columns, pa.array(times)], self.names)
+            for a in range(0, len(times), _OUT_ROWS):
+                yield batch.slice(a, _OUT_ROWS)
+        self.parts, self.rows = [], 0
+
+
 _COUNTS = "lang string, size int, phrase string, n long"
+_OUT_ROWS = 1 << 16
+TALLY_ROWS = 500_000
 
 
-def count_pass(docs: DataFrame, sizes: int, now=None, before=None, block: int = BLOCK_BYTES) -> DataFrame:
-    """``lang, size, phrase, n`` of all countable phrases of ``docs``, and per lang the number of words under size 0."""
+def count_pass(docs: DataFrame, sizes: int, now=None, failed=None, block: int = BLOCK_BYTES) -> DataFrame:
+    """``lang, size, phrase, n`` of all countable phrases of ``docs`` and per lang the number of words under size 0; with ``failed``
+    of the phrases that these had kept out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(now.value, np.uint8) if now is not None else None
-        old = np.frombuffer(before.value, np.uint8) if before is not None else None
+        bits = np.frombuffer(now.value, np.uint8)
+        more = np.frombuffer(failed.value, np.uint8) if failed is not None else None
+        tally, totals = Tally(["lang", "size", "phrase", "n"], TALLY_ROWS), Counter()
         for batch in batches:
             langs = _langs_of(batch)
             seeds = _seeds(langs)
-            for raw, firsts in text_blocks(batch["text"], block):
-                made = Block(raw, firsts, seeds)
+            for run in text_blocks(batch["text"], block):
+                made = Block(*run, seeds)
                 if not made.count:
                     continue
-                for size, places, hashes in countable(made, sizes, bits, old):
-                    _, one, times = _distinct(hashes)
+                for size, places, hashes in countable(made, sizes, bits) if more is None else kept_out(made, sizes, bits, more):
+                    values, one, order, heads = _distinct(hashes)
                     places = places[one]
                     if len(places):
-                        yield _rows(langs.take(pa.array(made.row[places])), size, made.phrases(places, size), times)
-                if before is None:
+                        sizes_ = pa.array(np.full(len(places), size, dtype=np.int32))
+                        times = np.diff(np.r_[heads, len(order)])
+                        yield from tally.add(values, times, langs.take(pa.array(made.row[places])), sizes_, made.phrases(places, size))
+                if more is None:
                     rows, times = np.unique(made.row, return_counts=True)
-                    yield _rows(langs.take(pa.array(rows)), 0, pa.array([""] * len(rows)), times)
+                    for lang, n in zip(langs.take(pa.array(rows)).to_pylist(), times.tolist(), strict=True):
+                        totals[lang] += n
+        yield from tally.out()
+        if totals:
+            n = len(totals)
+            columns = [pa.array(list(totals)), pa.array([0] * n, pa.int32()), pa.array([""] * n), pa.array(list(totals.values()))]
+            yield pa.RecordBatch.from_arrays(columns, tally.names)
 
     pieces = docs.select("lang", "text").mapInArrow(count, _COUNTS)
     return pieces.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _rows(langs: pa.Array, size: int, phrases: pa.Array, times: np.ndarray) -> pa.RecordBatch:
-    if isinstance(langs, pa.ChunkedArray):
-        langs = langs.combine_chunks()
-    sizes = pa.array(np.full(len(times), size, dtype=np.int32))
-    return pa.RecordBatch.from_arrays([langs, sizes, phrases, pa.array(times.astype(np.int64))], ["lang", "size", "phrase", "n"])
-
-
 def sample_pass(docs: DataFrame, size: int, now=None, block: int = BLOCK_BYTES) -> DataFrame:
     """``h, n``: hashes of the phrases of exactly ``size`` words of ``docs`` whose parts are in the filter."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(now.value, np.uint8) if now is not None else None
+        tally = Tally(["h", "n"], 2 * TALLY_ROWS)
         for batch in batches:
             seeds = _seeds(_langs_of(batch))
-            for raw, firsts in text_blocks(batch["text"], block):
-                made = Block(raw, firsts, seeds)
-                for k, _, hashes in countable(made, size, bits, None):
+            for run in text_blocks(batch["text"], block):
+                made = Block(*run, seeds)
+                for k, _, hashes in countable(made, size, bits):
                     if k == size and len(hashes):
-                        values, _, times = _distinct(hashes)
-                        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"])
+                        values, _, order, heads = _distinct(hashes)
+                        yield from tally.add(values, np.diff(np.r_[heads, len(order)]))
+        yield from tally.out()
 
     return docs.select("lang", "text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -227,8 +311,8 @@ def phrase_hashes(phrases: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seeds = _seeds(_langs_of(batch))
-            for raw, firsts in text_blocks(batch["phrase"], block):
-                made = Block(raw, firsts, seeds)
+            for run in text_blocks(batch["phrase"], block):
+                made = Block(*run, seeds)
                 left, size, hashes = np.flatnonzero(np.r_[True, made.row[1:] != made.row[:-1]]) if made.count else [], 1, made.first
                 last = np.r_[left[1:], made.count] if made.count else left
                 out = []
@@ -289,36 +373,26 @@ def frequent_phrases(
     sample = docs.select("lang", "text").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
     sample = stored(sample, "phrase-sample")
     least = max(2, int(min_count / share / slack))
-    now, sent = np.zeros(bits // 8, dtype=np.uint8), None
+    proposed, sent = np.zeros(bits // 8, dtype=np.uint8), None
     for size in range(1, longest):
         found = sample_pass(sample, size, sent, block).where(F.col("n") >= least)
         fresh = filter_of(found, bits)
         _drop(sent)
-        sent = None
+        proposed |= fresh
+        sent = _send(spark, proposed)
         if not fresh.any():
             break
-        now |= fresh
-        sent = _send(spark, now)
-    passes, before = 0, None
-    sent = sent or _send(spark, now)
-    tables = []
-    while True:
-        counts = count_pass(docs, longest, sent, before, block)
-        frequent = stored(counts.where((F.col("n") >= min_count) | (F.col("size") == 0)), "phrases")
-        tables.append(frequent)
-        passes += 1
-        missed = _missed(frequent.where(F.col("size").between(1, longest - 1)), sent)
-        failures = filter_of(missed, bits)
-        _drop(before)
-        if not failures.any():
-            break
-        now = now | failures
-        before, sent = sent, _send(spark, now)
+    wanted = (F.col("n") >= min_count) | (F.col("size") == 0)
+    frequent = stored(count_pass(docs, longest, sent, block=block).where(wanted), "phrases")
+    failures = filter_of(_missed(frequent.where(F.col("size").between(1, longest - 1)), sent), bits)
+    passes = 1
+    if failures.any():
+        failed = _send(spark, failures)
+        frequent = frequent.union(stored(count_pass(docs, longest, sent, failed, block).where(wanted), "phrases"))
+        _drop(failed)
+        passes = 2
     _drop(sent)
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.union(t)
-    return out, passes
+    return frequent, passes
 
 
 def _missed(frequent: DataFrame, sent) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import (
     decontaminate, html_extract, jaccard_tree, packing, phrases, quality, secrets, sharding, token_counts, toxicity, warc,
+    window_packing,
 )
 from tagloom.llm.common import read
 
@@ -58,12 +59,16 @@ def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.mine_phrases(read(spark, sf, "documents"))
 
 
+def op12_window_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return window_packing.pack_documents(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_toxicity, op2_warc_revisits, op3_jaccard_tree_join, op4_best_fit_packing, op5_token_counts,
         op6_balanced_sharding, op7_secret_scan, op8_host_quality, op9_decontamination, op10_main_text,
-        op11_phrases,
+        op11_phrases, op12_window_packing,
     )
 }
 ORACLES: dict[str, str] = {

@@ -73,15 +73,15 @@ def test_phrases_equal_a_plain_count(spark, seed, share, bits):
     assert sorted(map(tuple, found.collect())) == plain(rows, 5, 40)
 
 
-def test_passes_go_on_until_the_border_is_closed(spark):
+def test_a_second_pass_closes_the_border(spark):
     rows = texts(60, 7)
     counts, totals = plain_counts(rows)
     expected = {(lang, " ".join(w)): n for (lang, w), n in counts.items() if n >= 5}
-    for share, least in ((1, 1), (100000, 3)):
-        found, passes = phrases.frequent_phrases(frame(spark, rows), 5, share=share, bits=1 << 18, block=900)
+    for share, slack in ((1, 1), (2, 1), (100000, 1)):
+        found, passes = phrases.frequent_phrases(frame(spark, rows), 5, share=share, slack=slack, bits=1 << 18, block=900)
         assert {(r.lang, r.phrase): r.n for r in found.where("size > 0").collect()} == expected
         assert dict(found.where("size = 0").groupBy("lang").agg(F.sum("n")).collect()) == {k: v for k, v in totals.items() if v}
-        assert passes == 1 if share == 1 else passes >= least
+        assert passes == (1 if share == 1 else 2)
 
 
 def test_empty_tables(spark):
@@ -99,9 +99,8 @@ def test_products_beyond_64_bits_are_exact(spark):
 
 def test_blocks_keep_pieces_whole():
     column = pa.array(["a b. c", None, "d" * 50 + " e", "", "f g\nh"])
-    runs = [raw.tobytes().decode() for raw, _ in phrases.text_blocks(column, 8)]
-    assert "".join(runs) == "a b. c\n\n" + "d" * 50 + " e\n\nf g\nh\n"
-    assert all(r[-1] in ".\n" for r in runs) and len(runs) == 3
+    runs = [raw.tobytes().decode() for _, raw, _ in phrases.text_blocks(column, 8)]
+    assert runs == ["a b. c\n\n", "d" * 50 + " e\n", "\nf g\nh\n"]
     made = phrases.Block(*next(phrases.text_blocks(pa.array(["Ab  c.d\tE"]), 100)), np.zeros(1, np.uint64))
     assert made.phrases(np.array([0, 2]), 2).to_pylist() == ["ab c", "d e"]
 
