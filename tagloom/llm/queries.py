@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import (
-    decontaminate, html_extract, jaccard_tree, packing, phrases, quality, secrets, sharding, token_counts, toxicity, warc,
+    conversations, decontaminate, html_extract, jaccard_tree, packing, phrases, quality, secrets, sharding, token_counts, toxicity, warc,
     window_packing,
 )
 from tagloom.llm.common import read
@@ -63,12 +63,16 @@ def op12_window_packing(spark: SparkSession, sf: str) -> DataFrame:
     return window_packing.pack_documents(read(spark, sf, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.repair(read(spark, sf, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_toxicity, op2_warc_revisits, op3_jaccard_tree_join, op4_best_fit_packing, op5_token_counts,
         op6_balanced_sharding, op7_secret_scan, op8_host_quality, op9_decontamination, op10_main_text,
-        op11_phrases, op12_window_packing,
+        op11_phrases, op12_window_packing, op13_conversation_repair,
     )
 }
 ORACLES: dict[str, str] = {
