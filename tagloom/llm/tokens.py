@@ -1,22 +1,17 @@
 """Token ids of the public byte-level BPE vocabulary, fast enough for a whole corpus.
 
-Ids are those of the ``tokenizers`` library for the given JSON file. Words repeat, so a task keeps the ids of the pieces
-between blanks (a bounded cache) and only encodes new ones. A blank between two non-blank characters always begins a
-new pre-token, and a lone line end is one of its own, so texts can be cut there; texts with neighbouring blanks
-are encoded whole.
+Ids are those of the ``tokenizers`` library for the given JSON file. Nothing is kept between texts.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import re
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k"
-CACHE = 400_000
-_PAIR = re.compile(r"\s\s|[\x1c-\x1f\x85\xa0]")
+LONG_TEXT = 1 << 20
 
 
 def default_vocabulary() -> str:
@@ -38,19 +33,9 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         with open(json_path, encoding="utf-8") as f:
             self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
-        self._encode = tiktoken.Encoding(
+        self._encoding = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
-        encode = self._encode
-
-        class Pieces(dict):
-            def __missing__(self, piece: str) -> bytes:
-                if len(self) >= CACHE:
-                    self.clear()
-                made = self[piece] = np.array(encode(piece), dtype="<u4").tobytes()
-                return made
-
-        self._pieces = Pieces()
+        )
 
     def ids(self, text: str | None) -> bytes:
         if not text:
@@ -61,7 +46,6 @@ class Encoder:
 
                 self._whole = Tokenizer.from_file(self.json_path)
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if _PAIR.search(text) or text[0].isspace():
-            return np.array(self._encode(text), dtype="<u4").tobytes()
-        cut = text.replace("\n", "\x1f\n\x1f").replace(" ", "\x1f ").split("\x1f")
-        return b"".join(map(self._pieces.__getitem__, cut))
+        if len(text) > LONG_TEXT:  # without a Python object for each id
+            return self._encoding.encode_to_numpy(text).astype("<u4").tobytes()
+        return np.array(self._encoding.encode_ordinary(text), dtype="<u4").tobytes()
