@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -14,16 +18,20 @@ from pyspark.ml.feature import (
     Word2Vec,
     Word2VecModel,
 )
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tagloom.operators import linear
+from tagloom.operators.batches import with_batch_column
 from tagloom.operators.membership import keep_tokens
 from tagloom.operators.stats import most_used
 from tagloom.session import materialise
 
-MAX_DENSE_FEATURES = 4096
+DENSE_FEATURES = 4096  # up to here a table of features by features is made
 ALL_TOKENS = (1 << 31) - 1
 SENTENCE = 1000  # Spark cuts longer lists into sentences of so many words; none is lost
 
@@ -50,18 +58,10 @@ def fit_vectorizer(
     return PipelineModel([counts, weigh, Normalizer(p=2.0, inputCol=f"{out}_raw", outputCol=out)])
 
 
-def check_width(df: DataFrame, col: str, limit: int = MAX_DENSE_FEATURES) -> int:
-    """Number of features; dense statistics grow with its square, so it is bounded."""
-    first = df.select(F.col(col)).first()
-    width = 0 if first is None else first[0].size
-    if width > limit:
-        raise ValueError(f"{width} features, more than {limit}: narrow the vocabulary by document frequency")
-    return width
-
-
 def fit_scaler(df: DataFrame, col: str, out: str) -> PipelineModel:
-    """centred, divided by the population standard deviation."""
-    width = check_width(df, col)
+    """centred, divided by the population standard deviation. The rows become dense; what fits or projects them can do
+    without (``linear.Moments``)."""
+    width = linear.width_of(df, col)
     rows = df.count()
     scaler = StandardScaler(withMean=True, withStd=True, inputCol=col, outputCol=f"{out}_sample").fit(df)
     factor = (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
@@ -72,13 +72,49 @@ def fit_scaler(df: DataFrame, col: str, out: str) -> PipelineModel:
 
 
 def fit_pca(df: DataFrame, col: str, out: str, max_components: int | None = None) -> PipelineModel:
-    """Standardise by the population deviation (F4), then principal components."""
-    width = check_width(df, col)
+    """Standardise by the population deviation (F4), then principal components, from a table of features by features."""
+    width = linear.width_of(df, col)
     scaler = fit_scaler(df, col, f"{out}_scaled")
     pca = PCA(k=min(width, max_components or width), inputCol=f"{out}_scaled", outputCol=out)
     return PipelineModel([*scaler.stages, pca.fit(scaler.transform(df))])
 
 
+@dataclass
+class Components:
+    """Principal components for raw vectors: ``x weights + constants``, the same as those of the standardised vectors, which need
+    not be made dense for it. ``shares`` are the components' shares of the variance, ``axes`` the orthonormal directions."""
+
+    col: str
+    out: str
+    axes: np.ndarray
+    weights: np.ndarray
+    constants: np.ndarray
+    shares: np.ndarray
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """All other columns that are no vectors, and the components as a vector."""
+        sent = df.sparkSession.sparkContext.broadcast((self.weights, self.constants))
+
+        def project(x: pa.Array) -> list:
+            weights, constants = sent.value
+            first, feature, value = linear.sparse_rows(x)
+            return list(linear.Block(first, feature, value, feature[:0], feature[:0]).times(weights) + constants)
+
+        plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, VectorUDT)]
+        made = with_batch_column(df, plain, F.col(self.col), self.out, T.ArrayType(T.DoubleType()), project)
+        return made.withColumn(self.out, array_to_vector(self.out))
+
+
+def wide_components(df: DataFrame, col: str, out: str, most: int | None = None, level: float | None = None) -> Components:
+    """F5, F6 for any number of features: the leading components of the sparse rows, found without a table of features by features.
+    ``axes`` has features times components numbers; ``most`` or ``level`` bound how many are found."""
+    width = linear.width_of(df, col)
+    blocks = linear.row_blocks(df, col)
+    stats = linear.moments(blocks, width)
+    axes, shares = linear.principal_components(blocks, width, stats, most or width, level)
+    return Components(col, out, axes, *stats.weights(axes), shares)
+
+
 def components_below(explained: list[float], level: float) -> int:
     """Leading components while the cumulative explained variance stays below ``level``;
     the one that crosses it is not counted, so the result can be 0."""
@@ -91,9 +127,15 @@ def components_below(explained: list[float], level: float) -> int:
     return n
 
 
-def pca_select(df: DataFrame, col: str, out: str, level: float = 0.8) -> tuple[PipelineModel | None, int]:
-    """the fitted stages that keep the leading components, and how many they keep.
+def pca_select(df: DataFrame, col: str, out: str, level: float = 0.8) -> tuple[PipelineModel | Components | None, int]:
+    """what keeps the leading components (both kinds have ``transform``), and how many it keeps.
     None when not even the first component stays below ``level``: there is nothing to keep."""
+    if linear.width_of(df, col) > DENSE_FEATURES:
+        found = wide_components(df, col, out, level=level)
+        kept = components_below(found.shares.tolist(), level)
+        if kept == 0:
+            return None, 0
+        return Components(col, out, found.axes[:, :kept], found.weights[:, :kept], found.constants[:kept], found.shares[:kept]), kept
     fitted = fit_pca(df, col, f"{out}_all")
     kept = components_below(list(fitted.stages[-1].explainedVariance), level)
     if kept == 0:
@@ -102,12 +144,15 @@ def pca_select(df: DataFrame, col: str, out: str, level: float = 0.8) -> tuple[P
     return PipelineModel([*fitted.stages, slicer]), kept
 
 
-def scree_table(df: DataFrame, col: str, step: int = 5, include_last: bool = False) -> DataFrame:
-    """cumulative explained variance (%) at every ``step``-th axis."""
-    explained = [float(x) for x in fit_pca(df, col, "_pca").stages[-1].explainedVariance]
+def scree_table(df: DataFrame, col: str, step: int = 5, include_last: bool = False, most: int | None = None) -> DataFrame:
+    """cumulative explained variance (%) at every ``step``-th axis, of ``most`` axes if given."""
+    if linear.width_of(df, col) > DENSE_FEATURES:
+        explained = wide_components(df, col, "_pca", most).shares.tolist()
+    else:
+        explained = [float(x) for x in fit_pca(df, col, "_pca", most).stages[-1].explainedVariance]
     spark = df.sparkSession
     axes = spark.createDataFrame(list(enumerate(explained)), "axis int, share double")
-    # One row per feature, bounded by check_width.
+    # One row per axis, as many as the model on the driver has.
     total = F.sum(F.col("share") * 100).over(W.orderBy("axis").rowsBetween(W.unboundedPreceding, 0))
     keep = F.col("axis") % step == 0
     if include_last:
@@ -124,12 +169,15 @@ def fit_word_vectors(
     size; as many partitions as the data has train side by side and are averaged after each epoch."""
     top = most_used(df, col, vocab_size, "term_count")
     words = keep_tokens(df, id_col, col, top, "_words", "term_count").select(
-        F.slice("_words", 1, sequence_length).alias("_words") if sequence_length else "_words"
+        id_col, F.slice("_words", 1, sequence_length).alias("_words") if sequence_length else "_words"
     )
-    words = materialise(words)
+    # In the order of ids and in as few files as the size asks for: what fits one partition gives equal vectors on each run. With
+    # more of them the trainer itself deals the sentences anew, in the order in which they arrive.
+    words = materialise(words.repartitionByRange(id_col, "_words").sortWithinPartitions(id_col, "_words"))
+    parts = partitions or words.rdd.getNumPartitions()
     return Word2Vec(
         vectorSize=dim, windowSize=window, maxSentenceLength=sequence_length or SENTENCE, maxIter=epochs, minCount=1,
-        seed=seed, numPartitions=partitions or words.rdd.getNumPartitions(), inputCol="_words", outputCol="vector",
+        seed=seed, numPartitions=parts, inputCol="_words", outputCol="vector",
     ).fit(words)
 
 

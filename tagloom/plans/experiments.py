@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import text
-from tagloom.operators import labels, relevance, topics, vectors
+from tagloom.operators import labels, linear, relevance, topics, vectors
 from tagloom.operators.membership import filter_by_doc_freq
 from tagloom.operators.stats import most_used
 from tagloom.session import materialise
@@ -73,13 +73,14 @@ def labelled_tokens(
 def score_vectors(
     rows: DataFrame, features: str, classes: list[str], loss: str, max_iter: int, scaler: bool
 ) -> tuple[DataFrame, PipelineModel | None, relevance.TagModel]:
-    """M1 with optional F4 in front; ``rows`` hold ``Id, truth, is_test, <features>``."""
-    stages = None
-    if scaler:
-        stages = vectors.fit_scaler(rows.where("not is_test"), features, "_scaled")
+    """M1 with optional F4 in front; ``rows`` hold ``Id, truth, is_test, <features>``. Few features are standardised as vectors, many
+    within the fit, whose weights are then those of the raw features."""
+    stages, train = None, rows.where("not is_test")
+    if scaler and linear.width_of(train, features) <= vectors.DENSE_FEATURES:
+        stages, scaler = vectors.fit_scaler(train, features, "_scaled"), False
         rows, features = stages.transform(rows), "_scaled"
     train = materialise(rows.where("not is_test").select("truth", features))
-    model = relevance.fit_tags(train, features, "truth", classes, loss, max_iter)
+    model = relevance.fit_tags(train, features, "truth", classes, loss, max_iter, scaler)
     scored = relevance.predict_tags(rows.where("is_test"), features, model)
     return scored.select("Id", "truth", "predicted"), stages, model
 
@@ -88,26 +89,36 @@ def supervised_bow(
     data: DataFrame, *, name: str = "run", nb_tags: int = 50, body_tokens: str = "body-tokens",
     title_tokens: str = "title-tokens", Y_tokens: str = "ntags", body_min_df: float = 0.0,
     body_max_df: float = 1.0, title_min_df: float = 0.0, title_max_df: float = 1.0, vect: str = "count",
-    loss: str = "hinge", max_iter: int = 50, scaler: bool = True, fit_on: str = "all", level: float | None = None,
+    loss: str = "hinge", max_iter: int = relevance.MAX_ITER, scaler: bool = True, fit_on: str = "all", level: float | None = None,
 ) -> Run:
-    """M5. ``level`` keeps the principal components below that share of the variance (F5); they are
-    standardised, so ``scaler`` then changes nothing but their scale."""
+    """M5. ``level`` keeps the principal components below that share of the variance (F5); the features are
+    standardised for them, so ``scaler`` then changes nothing but their scale (and nothing at all with many features)."""
     rows = labelled_tokens(
         data, nb_tags, body_tokens, title_tokens, body_min_df, body_max_df, title_min_df, title_max_df,
         Y_tokens, fit_on=fit_on,
     )
     vectorizer = vectors.fit_vectorizer(rows.where("not is_test"), "tokens", vect, "_bow")
     classes = labels.label_classes(rows, "truth")
-    features = "_bow"
+    features, reducer = "_bow", None
     if level is not None:
         train = vectorizer.transform(rows.where("not is_test")).select("_bow")
         reducer, kept = vectors.pca_select(train, "_bow", "_components", level)
         if reducer is None:
             raise ValueError(f"no component stays below level {level}")
-        vectorizer, features = PipelineModel([*vectorizer.stages, *reducer.stages]), "_components"
-    predictions, stages, model = score_vectors(
-        vectorizer.transform(rows), features, classes, loss, max_iter, scaler
-    )
+        features = "_components"
+        if isinstance(reducer, PipelineModel):
+            vectorizer = PipelineModel([*vectorizer.stages, *reducer.stages])
+    if isinstance(reducer, vectors.Components):
+        ready = reducer.transform(vectorizer.transform(rows))
+        predictions, stages, model = score_vectors(ready, features, classes, loss, max_iter, False)
+        # Scores are linear in the components and these in the counts: the model can be kept for the counts alone.
+        model = relevance.TagModel(
+            classes, reducer.weights @ model.weights, loss, reducer.constants @ model.weights + model.constants, model.gaps
+        )
+    else:
+        predictions, stages, model = score_vectors(
+            vectorizer.transform(rows), features, classes, loss, max_iter, scaler
+        )
     params = {
         "nb_tags": nb_tags, "body_tokens": body_tokens, "vect": vect, "loss": loss, "scaler": scaler,
         "body_min_df": body_min_df, "body_max_df": body_max_df,
@@ -119,7 +130,7 @@ def supervised_bow(
 
 def supervised_embedding(
     data: DataFrame, embeddings: DataFrame, *, name: str = "run", nb_tags: int = 50, Y_tokens: str = "ntags",
-    embedding: str = "vectors", loss: str = "squared_error", max_iter: int = 50, scaler: bool = False,
+    embedding: str = "vectors", loss: str = "squared_error", max_iter: int = relevance.MAX_ITER, scaler: bool = False,
 ) -> Run:
     """F12 + M1: tags from precomputed vectors ``(Id, embedding)``."""
     from pyspark.ml.functions import array_to_vector

@@ -202,11 +202,12 @@ SKIPGRAMS = f"""{RANKED}, ids AS (
   SELECT token, term_rank + 1 AS word_id FROM ranked WHERE term_rank <= {R.VOCAB - 2}
 ), whole AS (SELECT Id, unnest(tokens) AS token, generate_subscripts(tokens, 1) - 1 AS pos FROM words),
 coded AS (SELECT whole.Id, whole.pos, coalesce(ids.word_id, 1) AS word_id FROM whole LEFT JOIN ids USING (token)),
-steps AS (SELECT unnest(range(-{R.WINDOW}, {R.WINDOW} + 1)) AS step),
-around AS (SELECT Id, pos, pos + step AS context_pos, word_id AS target FROM coded, steps WHERE step <> 0),
-grams AS (
-  SELECT a.Id, a.pos, a.context_pos, a.target, b.word_id AS context
-  FROM around a JOIN coded b ON a.Id = b.Id AND b.pos = a.context_pos
+near AS (
+  SELECT Id, pos, word_id AS target, {", ".join(f"lead(word_id, {k}) OVER w AS after_{k}, lag(word_id, {k}) OVER w AS before_{k}" for k in range(1, R.WINDOW + 1))}
+  FROM coded WINDOW w AS (PARTITION BY Id ORDER BY pos)
+), grams AS (
+  {" UNION ALL ".join(f"SELECT Id, pos, pos {sign} {k} AS context_pos, target, {name}_{k} AS context FROM near WHERE {name}_{k} IS NOT NULL"
+                      for k in range(1, R.WINDOW + 1) for sign, name in (("+", "after"), ("-", "before")))}
 )"""
 
 
@@ -250,10 +251,16 @@ def kept_labels(n: int) -> str:
 )"""
 
 
-def test_rows(n: int, extra: str, vectors: bool = False) -> str:
-    """The test part of a run over the ``n`` most used labels; ``vectors``: only rows that have one."""
+def test_rows(n: int, extra: str, vectors: bool = False, strata: int | None = None) -> str:
+    """The test part of a run over the ``n`` most used labels; ``vectors``: only rows that have one; ``strata``: split by so many labels."""
     vecs = "JOIN embeddings ON vec_id = rows_.Id" if vectors else ""
-    return f"""WITH {split(kept_labels(n), 'kept_key')}
+    source, key = kept_labels(n), "kept_key"
+    if strata is not None:
+        source += f""", common AS (
+  SELECT list(tag) AS tags FROM (SELECT tag FROM tags GROUP BY tag ORDER BY count(DISTINCT Id) DESC, tag LIMIT {strata})
+)"""
+        key = "array_to_string(list_sort(list_intersect(string_split(kept_key, '_'), (SELECT tags FROM common))), '_')"
+    return f"""WITH {split(source, key)}
 SELECT rows_.Id, kept AS truth, {extra} FROM rows_ JOIN parts ON parts.Id = rows_.Id {vecs} WHERE is_test"""
 
 
@@ -524,6 +531,29 @@ FROM grid LEFT JOIN sums ON sums.Id = grid.Id AND sums.dim = grid.dim""",
 SELECT parts.Id, is_test, array_to_string(ntags, '|') AS tags,
   round(list_sum(list_transform(embedding, lambda v: v::DOUBLE)), 4) AS total
 FROM parts JOIN rows_ ON rows_.Id = parts.Id JOIN embeddings ON vec_id = parts.Id""",
+    "binary_relevance_equations": f"""WITH {kept_labels(50)}, used AS (
+  SELECT rows_.Id, string_split(kept, '|') AS kept, embedding FROM rows_ JOIN embeddings ON vec_id = rows_.Id WHERE kept <> ''
+), classes AS (SELECT DISTINCT unnest(kept) AS tag FROM used),
+flat AS (SELECT Id, kept, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM used)
+SELECT tag, dim, round(avg(CASE WHEN list_contains(kept, tag) THEN v ELSE -v END), 6) + 0.0 AS side
+FROM flat, classes GROUP BY tag, dim""",
+    "binary_relevance_equations_wide": f"""WITH {kept_labels(5)}, texts AS (SELECT Id, {body_words('Body')} AS tokens FROM posts), used AS (
+  SELECT rows_.Id, string_split(kept, '|') AS kept, tokens FROM rows_ JOIN texts ON texts.Id = rows_.Id WHERE kept <> ''
+), classes AS (SELECT DISTINCT unnest(kept) AS tag FROM used), n AS (SELECT count(*)::DOUBLE AS n FROM used),
+counts AS (SELECT Id, token, count(*)::DOUBLE AS c FROM (SELECT Id, unnest(tokens) AS token FROM used) GROUP BY ALL),
+stats AS (
+  SELECT token, sum(c) / any_value(n) AS mean, sqrt(sum(c * c) / any_value(n) - (sum(c) / any_value(n)) * (sum(c) / any_value(n))) AS sd
+  FROM counts, n GROUP BY token
+), signs AS (SELECT Id, tag, CASE WHEN list_contains(kept, tag) THEN 1.0 ELSE -1.0 END::DOUBLE AS y FROM used, classes),
+means AS (SELECT tag, avg(y) AS y FROM signs GROUP BY tag),
+products AS (SELECT tag, token, sum(c * y) AS xy FROM counts JOIN signs USING (Id) GROUP BY tag, token)
+SELECT tag, round(sum(CASE WHEN sd > 1e-9 THEN (xy / n.n - mean * means.y) / sd ELSE 0 END
+  * (('0x' || substr(md5(token), 1, 6))::BIGINT / 16777216.0::DOUBLE)), 4) + 0.0 AS side
+FROM products JOIN stats USING (token) JOIN means USING (tag), n GROUP BY tag""",
+    "pca_norms": """WITH flat AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+stats AS (SELECT dim, avg(v) AS mean, stddev_pop(v) AS sd FROM flat GROUP BY dim)
+SELECT vec_id, round(sum(((v - mean) / sd) * ((v - mean) / sd)), 4) + 0.0 AS squares, 1.0::DOUBLE AS shares
+FROM flat JOIN stats USING (dim) GROUP BY vec_id""",
     "label_filter": f"WITH {kept_labels(8)} SELECT Id, kept AS tags FROM rows_",
     "stratified_split": f"WITH {split(kept_labels(20), 'kept_key')} SELECT Id, is_test FROM parts",
     "stratified_split_lang": f"""WITH {split("rows_ AS (SELECT doc_id AS Id, lang FROM documents)", 'lang')}
@@ -537,12 +567,12 @@ rates AS (
   FROM tagged JOIN lists USING (Id)
 )
 SELECT round(avg(t), 6) AS tag_coverage, round(avg(w), 6) AS word_coverage FROM rates""",
-    "supervised_bow_rows": test_rows(10, "TRUE AS scored"),
+    "supervised_bow_rows": test_rows(100, "TRUE AS scored"),
     "binary_relevance_rows": test_rows(50, "TRUE AS scored", vectors=True),
-    "unsupervised_rows": test_rows(20, f"{R.N_TERM} AS n_terms"),
+    "unsupervised_rows": test_rows(50, f"{R.N_TERM} AS n_terms", strata=30),
     "run_grid_rows": " UNION ALL ".join(
         f"SELECT 'Classifier-squared_error&nb_tags-{n}&scaler-{s}' AS run, Id, truth FROM ({test_rows(n, '1 AS one', vectors=True)})"
-        for n in (5, 10) for s in ("True", "False")
+        for n in (50, 100) for s in ("True", "False")
     ),
     "lda_share_sums": f"""WITH kept AS ({kept_by_doc_freq(*R.BODY_RANGE)})
 SELECT Id, 10 AS topics, tokens <> '' AS words, CASE WHEN tokens <> '' THEN 1.0 ELSE 0.0 END::DOUBLE AS share FROM kept""",

