@@ -1,16 +1,17 @@
 """Phrase collocations by Toivonen's sampling method.
 
 A hash sample of the documents proposes phrases: every phrase of up to four words that is frequent in the sample at a lowered
-bound. One full pass then counts exactly, over all documents, the proposed phrases and their negative border: each word, and each
+bound. One full pass then counts, over all documents, the proposed phrases and their negative border: each word, and each
 longer phrase whose first and whose last words (all but one) are both proposed. The border is never listed; the pass counts what
-occurs of it. A border phrase that turns out frequent is a failure, and a further pass counts what the failures had kept out:
-the phrases that contain one, have frequent words only and were not counted before. Then the count is closed: a frequent phrase
-that the first pass left out has a smallest part that was not proposed; that part lies on the border and is frequent, so it
-is a failure, and the second pass counts the phrase. The result is exact whatever the sample held.
-
-The proposed phrases are sent as a bit table of fixed size (two bits a phrase), whatever their number, and so are the
-failures. A phrase that only seems to be proposed is counted too, so false positives cost time and never change the result. Within a
-task, equal phrases are told by a hash of 64 bits before Spark adds up the counts by the phrases themselves.
+occurs of it, by hashes of 64 bits. A border phrase that turns out frequent is a failure. The second full pass counts two kinds
+of phrases by their words: those that came out frequent, and those that the failures had kept out, which contain a failure and
+no phrase that was counted as infrequent. Then the count is closed: a frequent phrase that the first pass left out has a smallest part that
+was not proposed; that part lies on the border and is frequent, so it is a failure, and the second pass counts the phrase.
+The result is exact whatever the sample held.
+
+Proposed, frequent and failed phrases are sent as bit tables of fixed size (two bits a phrase), whatever their number. A phrase
+that only seems to be in one is counted too, so false positives cost time and never change the result. Within a task, equal
+phrases are told by their hash before Spark adds up the counts by the phrases themselves.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 SAMPLE_SHARE = 8  # one of so many documents
-SAMPLE_SLACK = 1.25  # the bound in the sample is so many times below its share of the full bound
-FILTER_BITS = 1 << 27
+SAMPLE_SLACK = 2.0  # the bound in the sample is so many times below its share of the full bound
+FILTER_BITS = 1 << 26
 BLOCK_BYTES = 1 << 20
 HOT_PARTS = 2000
 NO_LANG = "und"
@@ -143,15 +144,22 @@ def _seeds(langs: pa.Array) -> np.ndarray:
     return np.array(made, dtype=np.uint64)[np.asarray(coded.indices)] if made else np.zeros(0, np.uint64)
 
 
+def tagged(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hashes with the number of words in their last three bits."""
+    return (hashes & ~np.uint64(7)) | np.uint64(size)
+
+
 def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the tagged hashes the table has."""
     found = np.ones(len(hashes), dtype=bool)
-    for p in _positions(bits, hashes):
+    for p in _positions(len(bits) * 8, hashes):
         found &= (bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 != 0
     return found
 
 
-def _positions(bits: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask, h = np.uint64(len(bits) * 8 - 1), mixed(hashes)
+def _positions(bits: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each hash in a table of ``bits`` bits, a power of two."""
+    mask, h = np.uint64(bits - 1), mixed(hashes)
     return h & mask, (h >> np.uint64(32)) & mask
 
 
@@ -159,46 +167,57 @@ Places = Iterator[tuple[int, np.ndarray, np.ndarray]]
 
 
 def countable(block: Block, sizes: int, now: np.ndarray | None) -> Places:
-    """``(size, places, hashes)`` of all words, and of the longer phrases whose first and last ``size - 1`` words are proposed.
-    A phrase is proposed if it is countable itself and in the filter ``now``."""
-    hashes = block.first
-    yield 1, np.arange(block.count), hashes
+    """``(size, places, tagged hashes)`` of all words, and of the longer phrases whose first and last ``size - 1`` words are
+    proposed. A phrase is proposed if it is countable itself and in the filter ``now``."""
+    hashes, made = block.first, tagged(block.first, 1)
+    yield 1, np.arange(block.count), made
     if now is None:
         return
-    known = _in_filter(now, hashes)
+    known = _in_filter(now, made)
     for size in range(2, sizes + 1):
         # ``known[i]`` tells of the phrase of one word less at place ``i`` of the block.
         n = max(block.count - size + 1, 0)
         places = np.flatnonzero((known[:-1] & known[1:])[:n] & (block.piece[:n] == block.piece[size - 1 :]))
-        made = block.longer(hashes[places], places, size)
+        longer = block.longer(hashes[places], places, size)
+        made = tagged(longer, size)
         yield size, places, made
-        known, hashes = np.zeros(block.count, dtype=bool), np.zeros(block.count, dtype=np.uint64)
-        hashes[places] = made
         if size < sizes:
-            known[places] = _in_filter(now, made)
-
-
-def kept_out(block: Block, sizes: int, now: np.ndarray, failed: np.ndarray) -> Places:
-    """``(size, places, hashes)`` of the phrases that contain one of the ``failed``, have words of ``now`` or ``failed`` only and
-    are not countable with ``now``."""
-    holds = np.zeros(block.count, dtype=bool)
-    words = _in_filter(now, block.first) | _in_filter(failed, block.first)
-    all_hashes, whole = block.first, words
-    for size, places, hashes in countable(block, sizes, now):
-        able = np.zeros(block.count, dtype=bool)
-        able[places] = True
+            known, hashes = np.zeros(block.count, dtype=bool), np.zeros(block.count, dtype=np.uint64)
+            hashes[places], known[places] = longer, _in_filter(now, made)
+
+
+def wanted(block: Block, sizes: int, frequent: np.ndarray, failed: np.ndarray | None, now: np.ndarray | None) -> Places:
+    """``(size, places, tagged hashes)`` of the phrases of ``frequent``, and of those that contain one of the ``failed`` and no phrase
+    that was counted (countable with ``now``) without being frequent."""
+    hashes = block.first
+    whole, holds, dead = np.ones(block.count, dtype=bool), np.zeros(block.count, dtype=bool), np.zeros(block.count, dtype=bool)
+    counted = countable(block, sizes if failed is not None else 0, now)
+    for size in range(1, sizes + 1):
+        n = max(block.count - size + 1, 0)
         if size > 1:
-            n = max(block.count - size + 1, 0)
-            whole = whole[:n] & words[size - 1 :] & (block.piece[:n] == block.piece[size - 1 :])
-            holds = (holds[:n] | holds[1 : n + 1]) & whole
-            fresh = np.flatnonzero(holds & ~able[:n])
-            full = np.zeros(block.count, dtype=np.uint64)
-            full[:n][whole] = block.longer(all_hashes[:n][whole], np.flatnonzero(whole), size)
-            all_hashes = full
-            yield size, fresh, full[fresh]
-            tail = np.zeros(block.count - n, dtype=bool)
-            holds, whole = np.r_[holds, tail], np.r_[whole, tail]
-        holds[places] |= _in_filter(failed, hashes)
+            whole = whole[:n] & whole[1 : n + 1] & (block.piece[:n] == block.piece[size - 1 :])
+            hashes, holds, dead = hashes[:n], holds[:n] | holds[1 : n + 1], dead[:n] | dead[1 : n + 1]
+        whole = whole & ~dead
+        at = np.flatnonzero(whole)
+        full = np.zeros(n, dtype=np.uint64)
+        full[at] = hashes[at] if size == 1 else block.longer(hashes[at], at, size)
+        hashes, made = full, tagged(full[at], size)
+        known = _in_filter(frequent, made)
+        take = known
+        if failed is not None:
+            able = np.zeros(block.count, dtype=bool)
+            able[next(counted)[1]] = True
+            lost = ~known & able[at]
+            dead[at[lost]] = True
+            take = known | (holds[at] & ~lost)
+            holds[at] |= _in_filter(failed, made)
+            whole[at[lost]] = False
+        else:
+            whole[at[~known]] = False
+        yield size, at[take], made[take]
+        tail = np.zeros(block.count - n, dtype=bool)
+        whole, holds, dead = np.r_[whole, tail], np.r_[holds, tail], np.r_[dead, tail]
+        hashes = np.r_[hashes, np.zeros(block.count - n, dtype=np.uint64)]
 
 
 def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -247,17 +266,41 @@ class Tally:
 
 _COUNTS = "lang string, size int, phrase string, n long"
 _OUT_ROWS = 1 << 16
-TALLY_ROWS = 500_000
+TALLY_ROWS = 600_000
 
 
-def count_pass(docs: DataFrame, sizes: int, now=None, failed=None, block: int = BLOCK_BYTES) -> DataFrame:
-    """``lang, size, phrase, n`` of all countable phrases of ``docs`` and per lang the number of words under size 0; with ``failed``
-    of the phrases that these had kept out."""
+def hash_pass(docs: DataFrame, sizes: range, now=None, block: int = BLOCK_BYTES) -> DataFrame:
+    """``h, n``: the tagged hashes of the countable phrases of ``docs`` of these ``sizes`` and how often they occur."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(now.value, np.uint8)
-        more = np.frombuffer(failed.value, np.uint8) if failed is not None else None
-        tally, totals = Tally(["lang", "size", "phrase", "n"], TALLY_ROWS), Counter()
+        bits = np.frombuffer(now.value, np.uint8) if now is not None else None
+        tally = Tally(["h", "n"], TALLY_ROWS)
+        for batch in batches:
+            seeds = _seeds(_langs_of(batch))
+            for run in text_blocks(batch["text"], block):
+                made = Block(*run, seeds)
+                for size, _, hashes in countable(made, sizes[-1], bits):
+                    if size in sizes and len(hashes):
+                        values, _, order, heads = _distinct(hashes)
+                        yield from tally.add(values, np.diff(np.r_[heads, len(order)]))
+        yield from tally.out()
+
+    # The tasks have added up their own counts: rows go straight to the shuffle. Most hashes are rare, so the parts get as
+    # many as the input asks for, and the sum of one part stays small.
+    texts = docs.select("lang", "text")
+    parts = max(4 * texts.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counted = texts.mapInArrow(count, "h long, n long").repartition(parts, "h")
+    return counted.groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def phrase_pass(docs: DataFrame, sizes: int, frequent, failed=None, now=None, block: int = BLOCK_BYTES) -> DataFrame:
+    """``lang, size, phrase, n`` of the phrases of ``docs`` in the table ``frequent`` or kept out by those in ``failed``, and per lang
+    the number of words under size 0."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(frequent.value, np.uint8)
+        more, old = (np.frombuffer(t.value, np.uint8) if failed is not None else None for t in (failed, now))
+        tally, totals = Tally(["lang", "size", "phrase", "n"], TALLY_ROWS // 4), Counter()
         for batch in batches:
             langs = _langs_of(batch)
             seeds = _seeds(langs)
@@ -265,17 +308,16 @@ def count_pass(docs: DataFrame, sizes: int, now=None, failed=None, block: int =
                 made = Block(*run, seeds)
                 if not made.count:
                     continue
-                for size, places, hashes in countable(made, sizes, bits) if more is None else kept_out(made, sizes, bits, more):
+                for size, places, hashes in wanted(made, sizes, bits, more, old):
                     values, one, order, heads = _distinct(hashes)
                     places = places[one]
                     if len(places):
                         sizes_ = pa.array(np.full(len(places), size, dtype=np.int32))
                         times = np.diff(np.r_[heads, len(order)])
                         yield from tally.add(values, times, langs.take(pa.array(made.row[places])), sizes_, made.phrases(places, size))
-                if more is None:
-                    rows, times = np.unique(made.row, return_counts=True)
-                    for lang, n in zip(langs.take(pa.array(rows)).to_pylist(), times.tolist(), strict=True):
-                        totals[lang] += n
+                rows, times = np.unique(made.row, return_counts=True)
+                for lang, n in zip(langs.take(pa.array(rows)).to_pylist(), times.tolist(), strict=True):
+                    totals[lang] += n
         yield from tally.out()
         if totals:
             n = len(totals)
@@ -286,76 +328,25 @@ def count_pass(docs: DataFrame, sizes: int, now=None, failed=None, block: int =
     return pieces.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
-def sample_pass(docs: DataFrame, size: int, now=None, block: int = BLOCK_BYTES) -> DataFrame:
-    """``h, n``: hashes of the phrases of exactly ``size`` words of ``docs`` whose parts are in the filter."""
+def filter_of(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The bit table of a column ``h``. Words of 64 bits are put together by Spark, so at most ``bits`` / 64 reach the driver."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(now.value, np.uint8) if now is not None else None
-        tally = Tally(["h", "n"], 2 * TALLY_ROWS)
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seeds = _seeds(_langs_of(batch))
-            for run in text_blocks(batch["text"], block):
-                made = Block(*run, seeds)
-                for k, _, hashes in countable(made, size, bits):
-                    if k == size and len(hashes):
-                        values, _, order, heads = _distinct(hashes)
-                        yield from tally.add(values, np.diff(np.r_[heads, len(order)]))
-        yield from tally.out()
-
-    return docs.select("lang", "text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-
-
-def phrase_hashes(phrases: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
-    """``h`` of each row's ``phrase`` in its ``lang``, as the passes compute it."""
+            place = np.concatenate(_positions(bits, np.asarray(batch["h"]).view(np.uint64)))
+            mask = (np.uint64(1) << (place & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int32)), pa.array(mask)], ["word", "mask"])
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seeds = _seeds(_langs_of(batch))
-            for run in text_blocks(batch["phrase"], block):
-                made = Block(*run, seeds)
-                left, size, hashes = np.flatnonzero(np.r_[True, made.row[1:] != made.row[:-1]]) if made.count else [], 1, made.first
-                last = np.r_[left[1:], made.count] if made.count else left
-                out = []
-                while len(left):
-                    done = last - left == size
-                    out.append(hashes[left[done]])
-                    left, last, size = left[~done], last[~done], size + 1
-                    if len(left):
-                        full = np.zeros(made.count, dtype=np.uint64)
-                        full[left] = made.longer(hashes[left], left, size)
-                        hashes = full
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["h"])
-
-    return phrases.select("lang", "phrase").mapInArrow(hashed, "h long")
-
-
-PARTS = 64
+            columns = [np.asarray(batch["word"]).astype("<i4"), np.asarray(batch["mask"]).astype("<i8")]
+            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], ["word", "mask"])
 
-
-def filter_of(hashes: DataFrame, bits: int) -> np.ndarray:
-    """The bit table of a column ``h``. Each task sends one row per part of the table that it met, as many bytes as the part has."""
-    width = bits // 8 // PARTS
-
-    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
-        whole = np.zeros(bits // 8, dtype=np.uint8)
-        for batch in batches:
-            for p in _positions(whole, np.asarray(batch["p"]).view(np.uint64)):
-                part = (p >> np.uint64(3)).astype(np.int64)
-                for k in np.unique(part // width).tolist():
-                    mine = made.setdefault(k, np.zeros(width, dtype=np.uint8))
-                    of = part // width == k
-                    np.bitwise_or.at(mine, part[of] - k * width, np.uint8(1) << (p[of] & np.uint64(7)).astype(np.uint8))
-        for k, v in made.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["part", "bits"])
-
-    # A few tasks build whole tables, so what reaches the driver is bounded by their number and the table's size.
-    rows = hashes.select(F.col("h").alias("p")).repartition(2, "p").mapInArrow(table, "part int, bits binary").toLocalIterator()
-    out = np.zeros(bits // 8, dtype=np.uint8)
-    for r in rows:
-        out[r.part * width : (r.part + 1) * width] |= np.frombuffer(r.bits, np.uint8)
-    return out
+    table = hashes.select("h").mapInArrow(words, "word int, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    out = np.zeros(bits // 64, dtype=np.int64)
+    for r in table.mapInArrow(packed, "word binary, mask binary").collect():
+        out[np.frombuffer(r.word, "<i4")] |= np.frombuffer(r["mask"], "<i8")
+    return out.view(np.uint8)
 
 
 def frequent_phrases(
@@ -366,45 +357,46 @@ def frequent_phrases(
     slack: float = SAMPLE_SLACK,
     bits: int = FILTER_BITS,
     block: int = BLOCK_BYTES,
-) -> tuple[DataFrame, int]:
+) -> tuple[DataFrame, bool]:
     """``lang, size, phrase, n`` of all phrases of at most ``longest`` words with n >= ``min_count``, and the number of words of
-    each lang as size 0; and the number of full passes. All counts are exact."""
+    each lang as size 0; and whether border phrases failed. All counts are exact."""
     spark = docs.sparkSession
     sample = docs.select("lang", "text").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
     sample = stored(sample, "phrase-sample")
     least = max(2, int(min_count / share / slack))
     proposed, sent = np.zeros(bits // 8, dtype=np.uint8), None
     for size in range(1, longest):
-        found = sample_pass(sample, size, sent, block).where(F.col("n") >= least)
+        found = hash_pass(sample, range(size, size + 1), sent, block).where(F.col("n") >= least)
         fresh = filter_of(found, bits)
         _drop(sent)
         proposed |= fresh
         sent = _send(spark, proposed)
         if not fresh.any():
             break
-    wanted = (F.col("n") >= min_count) | (F.col("size") == 0)
-    frequent = stored(count_pass(docs, longest, sent, block=block).where(wanted), "phrases")
-    failures = filter_of(_missed(frequent.where(F.col("size").between(1, longest - 1)), sent), bits)
-    passes = 1
-    if failures.any():
-        failed = _send(spark, failures)
-        frequent = frequent.union(stored(count_pass(docs, longest, sent, failed, block).where(wanted), "phrases"))
-        _drop(failed)
-        passes = 2
-    _drop(sent)
-    return frequent, passes
-
-
-def _missed(frequent: DataFrame, sent) -> DataFrame:
-    """The hashes of the frequent phrases that the filter does not have: the failures of the border."""
+    # By hash first: what is not frequent here, alone or with what shares its hash, is not frequent.
+    found = hash_pass(docs, range(1, longest + 1), sent, block).where(F.col("n") >= min_count)
+    found = stored(found.select("h"), "frequent-hashes")
+    frequent = _send(spark, filter_of(found, bits))
+    failures = filter_of(_missed(found, sent, longest), bits)
+    failed = _send(spark, failures) if failures.any() else None
+    counts = phrase_pass(docs, longest, frequent, failed, sent, block)
+    counts = stored(counts.where((F.col("n") >= min_count) | (F.col("size") == 0)), "phrases")
+    for table in (sent, frequent, failed):
+        _drop(table)
+    return counts, failed is not None
+
+
+def _missed(found: DataFrame, sent, longest: int) -> DataFrame:
+    """The frequent hashes of phrases with fewer than ``longest`` words that were not proposed: the failures of the border."""
 
     def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             h = np.asarray(batch["h"])
-            yield pa.RecordBatch.from_arrays([pa.array(h[~_in_filter(bits, h.view(np.uint64))])], ["h"])
+            lost = ~_in_filter(bits, h.view(np.uint64)) & (h & 7 < longest)
+            yield pa.RecordBatch.from_arrays([pa.array(h[lost])], ["h"])
 
-    return phrase_hashes(frequent).mapInArrow(left, "h long")
+    return found.mapInArrow(left, "h long")
 
 
 def _send(spark: SparkSession, bits: np.ndarray):
