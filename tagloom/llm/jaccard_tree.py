@@ -223,7 +223,9 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def possible(sketched: DataFrame) -> DataFrame:
     """The sketches of texts whose prefixes share enough with others."""
+    # 48 bits tell shingles apart here: two that meet by chance only count as shared.
     rare = sketched.where(F.size("rare") > 0).select("doc_id", F.explode("rare").alias("token"))
+    rare = rare.withColumn("token", F.col("token").bitwiseAND(F.lit((1 << 48) - 1)))
     rare = rare.repartition("token").sortWithinPartitions("token")
     counts = rare.mapInArrow(_shared_counts, "doc_id long, c long").groupBy("doc_id").agg(F.sum("c").alias("_c"))
     # A frequent shingle counts as shared. An id with several texts has the sum of their counts.
@@ -376,10 +378,36 @@ def spanning(i: np.ndarray, j: np.ndarray, good: np.ndarray, guess: np.ndarray,
     return kept + [(int(i[k]), int(j[k]), False) for k in np.flatnonzero(~good).tolist() if find(int(i[k])) != find(int(j[k]))]
 
 
+def neighbouring(pairs: list[tuple[int, int, bool]]) -> list[tuple[int, int, bool]]:
+    """The pairs in the order of a walk over the graph that they make, so that neighbours in the list share ends."""
+    at: dict[int, list[int]] = {}
+    for k, (x, y, _) in enumerate(pairs):
+        at.setdefault(x, []).append(k)
+        at.setdefault(y, []).append(k)
+    used, out = [False] * len(pairs), []
+    for start in list(at):
+        todo = [start]
+        while todo:
+            node = todo[-1]
+            edges = at[node]
+            while edges and used[edges[-1]]:
+                edges.pop()
+            if not edges:
+                todo.pop()
+                continue
+            k = edges.pop()
+            used[k] = True
+            out.append(pairs[k])
+            x, y, _ = pairs[k]
+            todo.append(y if x == node else x)
+    return out
+
+
 def block_pairs(rows: DataFrame, everything: bool) -> DataFrame:
-    """``block, a, b, good`` from rows ``block, p, q, doc_id, n, bits`` (and ``label``), one tree per (block, p, q).
+    """``block, chunk, a, b, good`` from rows ``block, p, q, doc_id, n, bits`` (and ``label``), one tree per (block, p, q).
 
-    With ``everything`` all possible pairs between different labels are kept, else a forest and the doubtful ones.
+    With ``everything`` all possible pairs between different labels are kept, else a forest and the doubtful ones. ``chunk`` names at
+    most ``CHUNK`` pairs with common ends.
     """
 
     def pairs(group: dict[str, list]) -> list[tuple[int, int, bool]]:
@@ -392,19 +420,21 @@ def block_pairs(rows: DataFrame, everything: bool) -> DataFrame:
         bits = [np.frombuffer(group["bits"][k], np.uint64) for k in first.tolist()]
         labels = np.array(group["label"])[first] if everything else None
         i, j, good, guess = tree_pairs(n, bits, labels)
-        found = zip(i.tolist(), j.tolist(), good.tolist(), strict=True) if everything else spanning(i, j, good, guess, len(ids))
-        return [(int(min(ids[x], ids[y])), int(max(ids[x], ids[y])), bool(g)) for x, y, g in found]
+        found = list(zip(i.tolist(), j.tolist(), good.tolist(), strict=True)) if everything else spanning(i, j, good, guess, len(ids))
+        return [(int(min(ids[x], ids[y])), int(max(ids[x], ids[y])), bool(g)) for x, y, g in neighbouring(found)]
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, None
 
         def made() -> list[tuple]:
-            return [(key[0], *p) for p in pairs(group)] if key else []
+            if not key:
+                return []
+            return [(key[0], ((key[1] << 20) + key[2] << 20) + at // CHUNK, *p) for at, p in enumerate(pairs(group))]
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            kinds = [pa.int64()] * 4 + [pa.bool_()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "a", "b", "good"]
+                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "chunk", "a", "b", "good"]
             )
 
         for batch in batches:
@@ -426,7 +456,7 @@ def block_pairs(rows: DataFrame, everything: bool) -> DataFrame:
             yield batch_of(out)
 
     dealt = rows.repartition("block", "p", "q").sortWithinPartitions("block", "p", "q")
-    return dealt.mapInArrow(traverse, "block long, a long, b long, good boolean")
+    return dealt.mapInArrow(traverse, "block long, chunk long, a long, b long, good boolean")
 
 
 def block_stars(pairs: DataFrame) -> DataFrame:
@@ -465,37 +495,47 @@ def _parts():
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a, b, link`` for distinct ``pairs`` (a, b), from the whole texts.
 
-    The texts of ``b`` come to chunks of their partner ``a``, so that a text with many partners is spread over tasks.
+    Pairs come in chunks (``block, chunk``) of at most ``CHUNK`` that lie next to each other in their block's forest, so they share
+    ends. A text goes once to each chunk that needs it, not once for each pair; a pair that several chunks have is checked in one.
     """
-    pairs = stored(pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(CHUNK)).alias("c")), "pairs")
-    degree = pairs.groupBy("a").agg(F.count("*").alias("_n"))
-    chunk = F.when(F.col("_n") > CHUNK, F.col("c")).otherwise(0).alias("c")
-    members = pairs.join(degree, "a").select("a", chunk, "b")
-    heads = members.select("a", "c").distinct().select(F.col("a").alias("doc_id"), "a", "c", F.lit(None).cast("long").alias("b"))
-    targets = stored(heads.union(members.select(F.col("b").alias("doc_id"), "a", "c", "b")), "targets")
-    # Every text goes straight to the chunks that need it: one shuffle of texts.
-    sent = docs.select("doc_id", "text").join(bounded(targets), "doc_id").select("a", "c", "b", "text")
+    pairs = stored(pairs.groupBy("a", "b").agg(F.min(F.struct("block", "chunk")).alias("_g")).select(
+        "a", "b", F.col("_g.block").alias("g"), F.col("_g.chunk").alias("c")), "pairs")
+    ends = pairs.select("g", "c", F.inline(F.array(
+        F.struct(F.col("a").alias("doc_id"), F.col("b").alias("other")), F.struct(F.col("b").alias("doc_id"), F.lit(None).cast("long").alias("other")))))
+    # At most CHUNK partners: lists leave nulls out.
+    targets = stored(ends.groupBy("g", "c", "doc_id").agg(F.collect_list("other").alias("others")), "targets")
+    sent = docs.select("doc_id", "text").join(bounded(targets), "doc_id").select("g", "c", "doc_id", "others", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, sets = None, []
+        key, sets, wanted = None, {}, {}
+
+        def found() -> list[tuple]:
+            # An id may have several texts: one that links is enough.
+            return [
+                (a, b, any(linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x in sets[a] for y in sets[b]))
+                for a, others in wanted.items() for b in others
+            ]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            a, b, link = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(link)], ["a", "b", "link"])
+
         for batch in batches:
             out = []
-            keys = zip(batch["a"].to_pylist(), batch["c"].to_pylist(), batch["b"].to_pylist(), strict=True)
-            for (a, c, b), s in zip(keys, sets_of(batch["text"]), strict=True):
-                if (a, c) != head:
-                    head, sets = (a, c), []
-                if b is None:
-                    sets.append(s)
-                    continue
-                link = any(linked(len(np.intersect1d(s, x, assume_unique=True)), len(s), len(x)) for x in sets)
-                out.append((a, b, link))
+            columns = [batch[c].to_pylist() for c in ("g", "c", "doc_id", "others")]
+            for (g, c, doc_id, others), s in zip(zip(*columns, strict=True), sets_of(batch["text"]), strict=True):
+                if (g, c) != key:
+                    out += found()
+                    key, sets, wanted = (g, c), {}, {}
+                sets.setdefault(doc_id, []).append(s)
+                wanted[doc_id] = others
             if out:
-                a, b, link = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(link)], ["a", "b", "link"])
+                yield batch_of(out)
+        if rest := found():
+            yield batch_of(rest)
 
-    rows = sent.repartition("a", "c").sortWithinPartitions("a", "c", F.col("b").asc_nulls_first())
-    checked = rows.mapInArrow(compare, "a long, b long, link boolean")
-    return checked.groupBy("a", "b").agg(F.max("link").alias("link"))  # an id may have several texts
+    rows = sent.repartition("g", "c").sortWithinPartitions("g", "c")
+    return rows.mapInArrow(compare, "a long, b long, link boolean")
 
 
 # --- the join -----------------------------------------------------------------------------
@@ -524,7 +564,7 @@ def jaccard_components(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     own = F.array(spread)
     dealt = members.withColumn("p", F.explode(F.when(anchor, F.sequence(F.lit(0), _parts() - 1)).otherwise(own)))
     first = stored(block_pairs(dealt.withColumn("q", F.col("p")).join(signed, "doc_id"), everything=False), "pairs-1")
-    checked = stored(verified(docs, first.select("a", "b").distinct()), "checked-1")
+    checked = stored(verified(docs, first), "checked-1")
     # Stars of the links within each block: a large group of near copies gets a short way to its centre.
     links = stored(block_stars(first.join(checked.where("link").select("a", "b"), ["a", "b"])), "links")
 
@@ -552,7 +592,7 @@ def jaccard_components(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         named = named.withColumn("_p", spread).withColumn("_pq", F.explode(both)).select(
             "block", "doc_id", "label", "_pq.p", "_pq.q"
         )
-        second = block_pairs(named.join(signed, "doc_id"), everything=True).select("a", "b").distinct()
+        second = block_pairs(named.join(signed, "doc_id"), everything=True)
         second = second.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         more = stored(verified(docs, second), "checked-2").where("link").select("a", "b")
         if not more.isEmpty():
