@@ -233,13 +233,13 @@ def _langs_of(batch: pa.RecordBatch) -> pa.Array:
 
 
 class Tally:
-    """Counts of phrases by hash, with what tells of each; given out in batches when ``most`` rows do not shrink any more."""
+    """Counts of phrases by hash, given out in batches when ``most`` rows do not shrink any more."""
 
-    def __init__(self, names: list[str], most: int):
-        self.names, self.most, self.rows, self.parts = names, most, 0, []
+    def __init__(self, most: int):
+        self.most, self.rows, self.parts = most, 0, []
 
-    def add(self, hashes: np.ndarray, times: np.ndarray, *told: pa.Array) -> Iterator[pa.RecordBatch]:
-        self.parts.append((hashes, times, *told))
+    def add(self, hashes: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((hashes, times))
         self.rows += len(hashes)
         if self.rows > self.most:
             self.merge()
@@ -248,17 +248,14 @@ class Tally:
 
     def merge(self) -> None:
         if len(self.parts) > 1:
-            hashes, times = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1))
-            values, one, order, heads = _distinct(hashes)
-            index = pa.array(one)
-            told = [pa.concat_arrays([p[k] for p in self.parts]).take(index) for k in range(2, len(self.parts[0]))]
-            self.parts, self.rows = [(values, np.add.reduceat(times[order], heads), *told)], len(values)
+            hashes, times = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+            values, _, order, heads = _distinct(hashes)
+            self.parts, self.rows = [(values, np.add.reduceat(times[order], heads))], len(values)
 
     def out(self) -> Iterator[pa.RecordBatch]:
         self.merge()
-        for hashes, times, *told in self.parts:
-            columns = told or [pa.array(hashes.view(np.int64))]
-            batch = pa.RecordBatch.from_arrays([*columns, pa.array(times)], self.names)
+        for hashes, times in self.parts:
+            batch = pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times)], ["h", "n"])
             for a in range(0, len(times), _OUT_ROWS):
                 yield batch.slice(a, _OUT_ROWS)
         self.parts, self.rows = [], 0
@@ -274,7 +271,7 @@ def hash_pass(docs: DataFrame, sizes: range, now=None, block: int = BLOCK_BYTES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(now.value, np.uint8) if now is not None else None
-        tally = Tally(["h", "n"], TALLY_ROWS)
+        tally = Tally(TALLY_ROWS)
         for batch in batches:
             seeds = _seeds(_langs_of(batch))
             for run in text_blocks(batch["text"], block):
@@ -300,7 +297,7 @@ def phrase_pass(docs: DataFrame, sizes: int, frequent, failed=None, now=None, bl
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(frequent.value, np.uint8)
         more, old = (np.frombuffer(t.value, np.uint8) if failed is not None else None for t in (failed, now))
-        tally, totals = Tally(["lang", "size", "phrase", "n"], TALLY_ROWS // 4), Counter()
+        names, totals = ["lang", "size", "phrase", "n"], Counter()
         for batch in batches:
             langs = _langs_of(batch)
             seeds = _seeds(langs)
@@ -309,20 +306,20 @@ def phrase_pass(docs: DataFrame, sizes: int, frequent, failed=None, now=None, bl
                 if not made.count:
                     continue
                 for size, places, hashes in wanted(made, sizes, bits, more, old):
-                    values, one, order, heads = _distinct(hashes)
+                    _, one, order, heads = _distinct(hashes)
                     places = places[one]
                     if len(places):
                         sizes_ = pa.array(np.full(len(places), size, dtype=np.int32))
                         times = np.diff(np.r_[heads, len(order)])
-                        yield from tally.add(values, times, langs.take(pa.array(made.row[places])), sizes_, made.phrases(places, size))
+                        found = [langs.take(pa.array(made.row[places])), sizes_, made.phrases(places, size), pa.array(times)]
+                        yield pa.RecordBatch.from_arrays(found, names)
                 rows, times = np.unique(made.row, return_counts=True)
                 for lang, n in zip(langs.take(pa.array(rows)).to_pylist(), times.tolist(), strict=True):
                     totals[lang] += n
-        yield from tally.out()
         if totals:
             n = len(totals)
             columns = [pa.array(list(totals)), pa.array([0] * n, pa.int32()), pa.array([""] * n), pa.array(list(totals.values()))]
-            yield pa.RecordBatch.from_arrays(columns, tally.names)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     pieces = docs.select("lang", "text").mapInArrow(count, _COUNTS)
     return pieces.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
