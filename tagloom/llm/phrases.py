@@ -3,7 +3,7 @@
 A hash sample of the documents proposes phrases: every phrase of up to four words that is frequent in the sample at a lowered
 bound. One full pass then counts, over all documents, the proposed phrases and their negative border: each word, and each
 longer phrase whose first and whose last words (all but one) are both proposed. The border is never listed; the pass counts what
-occurs of it, by hashes of 64 bits. A border phrase that turns out frequent is a failure. The second full pass counts two kinds
+occurs of it, by hashes. A border phrase that turns out frequent is a failure. The second full pass counts two kinds
 of phrases by their words: those that came out frequent, and those that the failures had kept out, which contain a failure and
 no phrase that was counted as infrequent. Then the count is closed: a frequent phrase that the first pass left out has a smallest part that
 was not proposed; that part lies on the border and is frequent, so it is a failure, and the second pass counts the phrase.
@@ -45,6 +45,7 @@ _WORD[[32, 9]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+SHORT = np.uint64((1 << 48) - 1)  # what is sent of a hash; phrases that meet by chance are told apart by the second pass
 
 
 def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -159,7 +160,7 @@ def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def _positions(bits: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two places of each hash in a table of ``bits`` bits, a power of two."""
-    mask, h = np.uint64(bits - 1), mixed(hashes)
+    mask, h = np.uint64(bits - 1), mixed(hashes & SHORT)
     return h & mask, (h >> np.uint64(32)) & mask
 
 
@@ -263,7 +264,7 @@ class Tally:
 
 _COUNTS = "lang string, size int, phrase string, n long"
 _OUT_ROWS = 1 << 16
-TALLY_ROWS = 600_000
+TALLY_ROWS = 800_000
 
 
 def hash_pass(docs: DataFrame, sizes: range, now=None, block: int = BLOCK_BYTES) -> DataFrame:
@@ -278,7 +279,7 @@ def hash_pass(docs: DataFrame, sizes: range, now=None, block: int = BLOCK_BYTES)
                 made = Block(*run, seeds)
                 for size, _, hashes in countable(made, sizes[-1], bits):
                     if size in sizes and len(hashes):
-                        values, _, order, heads = _distinct(hashes)
+                        values, _, order, heads = _distinct(hashes & SHORT)
                         yield from tally.add(values, np.diff(np.r_[heads, len(order)]))
         yield from tally.out()
 
