@@ -8,6 +8,7 @@ spans: leftmost, longest, not overlapping within a rule.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -61,13 +62,18 @@ def cut_bytes() -> np.ndarray:
     return cut
 
 
-def _longest(auto: Automaton, data: bytes, at: int) -> int:
-    """End of the longest match that begins at ``at``, or -1."""
+def _longest(auto: Automaton, data: bytes, at: int, seen: array) -> int:
+    """End of the longest match that begins at ``at``, or -1.
+
+    ``seen`` has the state of the last run after each byte. Runs begin ever further right and never before the end of a
+    match, so a run that meets an earlier one in its state finds no more than that one did, and stops there.
+    """
     state, end, table, accepts, dead = 0, -1, auto.table, auto.accepts, auto.dead
     for i in range(at, len(data)):
-        state = table[(state << 8) + data[i]]
-        if state == dead:
+        state = int(table[(state << 8) + data[i]])
+        if state == dead or state == seen[i]:
             break
+        seen[i] = state
         if accepts[state]:
             end = i + 1
     return end
@@ -83,8 +89,9 @@ def _spans(data: bytes, kind: int) -> Iterator[tuple[int, int]]:
     """Leftmost, longest, non-overlapping matches of one rule; too short ones use up their text and are dropped."""
     _, _, _, _, least, value_only = RULES[kind]
     auto, first, at = anchored()[kind], _first_bytes(kind), 0
+    seen = array("i", [-1]) * len(data)
     while at < len(data):
-        end = _longest(auto, data, at) if data[at] in first else -1
+        end = _longest(auto, data, at, seen) if data[at] in first else -1
         if end < 0:
             at += 1
             continue
@@ -167,8 +174,8 @@ def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``, with the secrets in ``text`` replaced and ``n_chars`` counted again where a
-    text has changed. Texts without secrets, null and empty ones stay as they are."""
+    """All rows and columns of ``docs``, with the secrets in ``text`` replaced and ``n_chars``, if there is such a column,
+    counted again where a text has changed. Texts without secrets, null and empty ones stay as they are."""
     names = docs.columns
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,9 +184,11 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
             spans = find_secrets(column)
             if any(spans):
                 texts = [redact(t.as_py(), s) for t, s in zip(column, spans, strict=True)]
-                counts = batch["n_chars"].to_pylist()
-                counts = [len(t) if s else n for t, s, n in zip(texts, spans, counts, strict=True)]
-                new = {"text": pa.array(texts, batch["text"].type), "n_chars": pa.array(counts, batch["n_chars"].type)}
+                new = {"text": pa.array(texts, batch["text"].type)}
+                if "n_chars" in names:
+                    counts = batch["n_chars"].to_pylist()
+                    counts = [len(t) if s else n for t, s, n in zip(texts, spans, counts, strict=True)]
+                    new["n_chars"] = pa.array(counts, batch["n_chars"].type)
                 batch = pa.RecordBatch.from_arrays([new[n] if n in new else batch[n] for n in names], names)
             yield batch
 

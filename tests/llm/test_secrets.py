@@ -2,13 +2,14 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tagloom.llm.automaton import compile_rules, scan
-from tagloom.llm.secrets import KINDS, find_secrets, redact_secrets, scan_secrets, secrets_digest
+from tagloom.llm.secrets import BASE, KINDS, RULES, find_secrets, redact_secrets, scan_secrets, secrets_digest
 
 
 def reference(text):
@@ -62,6 +63,28 @@ def test_other_kinds():
     ]
 
 
+def test_long_texts_take_time_in_proportion_to_their_length():
+    head = "eyJ" * 200_000 + "."
+    body = "eyJ" + "k" * 300_000 + "."
+    texts = [head + "eyJ" + "-" * 9, head + body + "x" * 8 + "!", "https" * 60_000 + "://me:" + "p" * 200_000, "token" + " " * 300_000 + "=x1y2z3"]
+    begin = time.perf_counter()
+    got = find_secrets(pa.array(texts))
+    assert time.perf_counter() - begin < 60
+    assert got[0] == [] and got[2] == []
+    assert got[1] == [(0, len(texts[1]) - 1, KINDS.index("jwt"))]
+    assert got[3] == [(0, len(texts[3]), 0)]
+
+
+def test_all_kinds_match_regular_expressions():
+    """Runs that meet earlier ones must not lose a match: alphabets in which matches of a kind overlap and fail late."""
+    rnd = random.Random(5)
+    parts = ["eyJ", "abcdefgh", ".", "-", "_", "eyJabcdefgh.", "://", ":", "@", "a", "http", "u", "xoxb-", "ghp_" + "k" * 30, "k" * 9, "-----BEGIN ", "PRIVATE KEY-----"]
+    sample = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 16))) for _ in range(6_000)]
+    for text, spans in zip(sample, find_secrets(pa.array(sample)), strict=True):
+        for kind in range(BASE, len(KINDS)):
+            assert [s[:2] for s in spans if s[2] == kind] == [m.span() for m in re.finditer(RULES[kind][2], text, re.A)], (text, KINDS[kind])
+
+
 def test_rows_nulls_and_redaction(spark):
     key = "AKIA" + "Z" * 16
     rows = [(1, f"é {key}, x", 1), (1, f"é {key}, x", 1), (2, None, 0), (3, "", 0), (None, "token: abcdef", 0), (4, "clean", 5)]
@@ -71,6 +94,8 @@ def test_rows_nulls_and_redaction(spark):
     clean = {(r.doc_id, r.text, r.n_chars) for r in redact_secrets(docs).collect()}
     assert clean == {(1, "é [ACCESS], x", 13), (2, None, 0), (3, "", 0), (None, "[ASSIGN]", 8), (4, "clean", 5)}
     assert redact_secrets(docs).columns == docs.columns
+    bare = docs.select("doc_id", "text")
+    assert {(r.doc_id, r.text) for r in redact_secrets(bare).collect()} == {(i, t) for i, t, _ in clean}
     digest = {r.doc_id: r for r in secrets_digest(docs).collect()}
     assert digest[1].n_access == 1 and digest[1].spans == "access:2:22"
     assert digest[4].base_sha256 == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
