@@ -29,10 +29,11 @@ def word_list(text: Column) -> Column:
 def item_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """``item_id, window (words joined by blanks), length``: each window of each item once.
 
-    An item with fewer words is one window, an item without words (or with null text) has none.
+    An item with fewer words is one window, an item without words (or with null text) has none. Items with a null id
+    are kept: their windows hit words like any other, together they count as one item, and they name nothing.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), word_list(F.col("text")).alias("w"))
-    items = items.where((F.size("w") > 0) & F.col("item_id").isNotNull())
+    items = items.where(F.size("w") > 0)
     start = F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - size, F.lit(0))))
     cut = items.select("item_id", "w", start.alias("s")).select("item_id", F.slice("w", F.col("s") + 1, size).alias("w"))
     return cut.select("item_id", F.array_join("w", " ").alias("window"), F.size("w").alias("length")).distinct()
@@ -86,7 +87,10 @@ def find_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every row of ``docs``."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every row of ``docs``.
+
+    All items with a null id count as one in ``n_items`` and are not in the hash, which has the known ids only.
+    """
     found = find_windows(docs, item_windows(benchmark, size))
     covered = F.transform("found", lambda c: F.sequence(c["start"], c["start"] + c["length"] - 1))
     items = F.array_sort(F.array_distinct(F.transform("found", lambda c: c["item_id"])))

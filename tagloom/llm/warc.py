@@ -59,10 +59,11 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     earlier response is the one with the largest ``at`` below the revisit's, among equal times the one with the largest id.
     ``state`` is ``unresolved`` (no earlier response, ``ref_id`` null), ``mismatch`` (an entity tag, else a date, else a
     digest differs, or the revisit has no validator) or ``resolved``; only then ``headers`` are the merged ones, else the
-    revisit's own. Entity tags compare weakly. Null headers are empty; a record with a null time or kind is left out.
+    revisit's own. Entity tags compare weakly. Null headers are empty. A revisit without a time is ``unresolved``, since nothing
+    is known to be earlier; a response without a time answers nothing, and records of another or a null kind are left out.
     """
     none = F.create_map().cast("map<string,string>")
-    known = records.where(F.col("at").isNotNull() & F.col("kind").isin(KINDS)).select(
+    known = records.where((F.col("kind") == "revisit") | (F.col("at").isNotNull() & F.col("kind").isin(KINDS))).select(
         "record_id", canonical_url(F.col("url")).alias("canonical"), "kind", F.col("at").cast("long").alias("at"), "digest",
         F.coalesce("headers", none).alias("headers"),
     )
@@ -72,7 +73,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.regexp_replace(F.col("headers")["etag"], "^W/", "").alias("etag"), F.col("headers")["last-modified"].alias("modified"),
     ))
     narrow = known.select("record_id", "canonical", "kind", "at", "digest", "headers", answer.alias("_answer"))
-    found = latest_before(narrow, "canonical", "at", F.col("_answer"), -(-known.count() // ROWS_PER_CELL))
+    timed = latest_before(narrow.where("at is not null"), "canonical", "at", F.col("_answer"), -(-known.count() // ROWS_PER_CELL))
+    timeless = narrow.where("at is null").withColumn("_found", F.col("_answer"))  # a revisit's is null
+    found = timed.unionByName(timeless)
     etag = F.regexp_replace(F.col("headers")["etag"], "^W/", "")
     modified = F.col("headers")["last-modified"]
     fits = F.when(etag.isNotNull(), etag.eqNullSafe(F.col("_found.etag"))).when(

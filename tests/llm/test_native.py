@@ -17,7 +17,7 @@ TEXTS = [
     " ".join(f"w{k}" for k in range(80)), " ".join(f"w{k % 20}" for k in range(80)), "line one\nline one\nline two\n" * 20, "x" * 5000,
     "a\x0bb\x0cc\rd", "É é \xa0 nbsp", "same words " * 3 + ITEM, " ".join(f"u{k}" for k in range(70)),
 ]
-ITEMS = [("i1", ITEM), ("i1", ITEM), ("i2", "solo"), ("i10", "never seen words here"), ("i3", None), ("i4", " .,"), ("i5", "Été")]
+ITEMS = [("i1", ITEM), ("i1", ITEM), ("i2", "solo"), ("i10", "never seen words here"), ("i3", None), ("i4", " .,"), ("i5", "Été"), (None, "a b c"), (None, "w3 w4")]
 
 
 def frames():
@@ -145,11 +145,18 @@ def test_revisits(spark, monkeypatch):
     assert got[3] == (1, "resolved", {"etag": 'W/"1"', "content-type": "t", "cache-control": "new", "last-modified": "m1"})
     assert {k: v[:2] for k, v in got.items()} == {
         3: (1, "resolved"), 4: (1, "resolved"), 5: (2, "mismatch"), 6: (None, "unresolved"), 7: (2, "resolved"),
-        8: (2, "resolved"), 9: (2, "mismatch"), 10: (None, "unresolved"),
+        8: (2, "resolved"), 9: (2, "mismatch"), 10: (None, "unresolved"), 11: (None, "unresolved"),
     }
     assert warc.resolve_revisits(records.limit(0)).count() == 0
 
 
+def test_pages_without_an_id_stay_as_unresolved_revisits(spark):
+    pages = spark.createDataFrame([(1, "h/a", "x"), (None, "h/a", "y"), (99, "h/a", None), (None, None, None)], "page_id long, url string, html string")
+    rows = warc.revisit_digest(pages).collect()
+    assert len(rows) == 4 and sum(r.record_id is None for r in rows) == 2
+    assert all(r.state == "unresolved" and r.ref_id is None for r in rows if r.record_id is None)
+
+
 def test_as_of_join_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr(warc, "ROWS_PER_CELL", 5)
     rows = [(k, "h/a" if k % 3 else f"h/{k % 5}", "response" if k * 7 % 4 else "revisit", k * 37 % 101, f"d{k % 4}", None) for k in range(200)]
