@@ -504,6 +504,12 @@ SELECT Id, token, round(w / sqrt(sum(w * w) OVER (PARTITION BY Id)), 6) AS weigh
 )
 SELECT words.Id, count(DISTINCT vocab.token) AS n_terms, CASE WHEN count(vocab.token) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm
 FROM words LEFT JOIN occ ON occ.Id = words.Id LEFT JOIN vocab ON vocab.token = occ.token GROUP BY words.Id""",
+    "word_dictionary": f"WITH {RANKED} SELECT token, term_rank - 1 AS word_id, term_count, doc_count FROM ranked",
+    "dictionary_tfidf": f"""WITH {RANKED}, raw AS (
+  SELECT Id, term_rank - 1 AS word_id, count(*) * (ln((1 + (SELECT n FROM n_docs)) / (1 + any_value(doc_count))) + 1) AS w
+  FROM occ JOIN ranked USING (token) GROUP BY ALL
+)
+SELECT Id, word_id, round(w / sqrt(sum(w * w) OVER (PARTITION BY Id)), 6) AS weight FROM raw""",
     "multilabel_binarize": f"""WITH {TAGGED}, {bits_case("SELECT DISTINCT tag FROM tags")}
 SELECT Id, string_agg(CASE WHEN hit THEN '1' ELSE '0' END, '' ORDER BY k) AS bits,
   string_agg(tag, '|' ORDER BY k) FILTER (WHERE hit) AS tags FROM marked GROUP BY Id""",

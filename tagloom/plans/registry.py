@@ -19,7 +19,7 @@ from tagloom.functions import codelang, html, text
 from tagloom.functions.arrays import unfolded
 from tagloom.functions.lemma import LEXICON, NOUN, VERB
 from tagloom.functions.stopwords import FUNCTION_WORDS, default_stop_words, merge_stop_words
-from tagloom.operators import features, labels, linear, membership, relevance, stats, topics, vectors
+from tagloom.operators import dictionary, features, labels, linear, membership, relevance, stats, topics, vectors
 from tagloom.plans import experiments, grid, suggest
 from tagloom.plans.prepare import body_nodes, processed_questions
 from tagloom.session import materialise, scratch_path
@@ -449,6 +449,19 @@ def bow_vectors(spark, sf):
     )
 
 
+def word_dictionary(spark, sf):
+    """Every word with its id, numbered over range partitions."""
+    return dictionary.numbered_words(words(spark, sf), "tokens")
+
+
+def dictionary_tfidf(spark, sf):
+    """F2 with the vocabulary as a table: the numbers of the sparse rows."""
+    rows = words(spark, sf)
+    fitted = dictionary.fit_dictionary(rows, "tokens", "tfidf")
+    vector = fitted.transform(rows, "Id", "tokens", "v").select("Id", "v")
+    return rounded(vector.select("Id", F.inline(F.arrays_zip("v.indices", "v.values"))).toDF("Id", "word_id", "weight"), "weight")
+
+
 def multilabel_binarize(spark, sf):
     rows = materialise(tagged(spark, sf))
     classes = labels.label_classes(rows, "ntags")
@@ -961,6 +974,8 @@ QUERIES: dict[str, Query] = {
     "bow_counts": bow_counts,
     "bow_tfidf": bow_tfidf,
     "bow_vectors": bow_vectors,
+    "word_dictionary": word_dictionary,
+    "dictionary_tfidf": dictionary_tfidf,
     "multilabel_binarize": multilabel_binarize,
     "standardize": standardize,
     "pca_select": pca_select,
