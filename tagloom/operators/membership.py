@@ -32,12 +32,16 @@ def token_lookup(
     spread_by: Sequence[str],
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     hot_tokens: int = HOT_TOKENS,
+    written: bool = False,
 ) -> DataFrame:
     """Left join ``rows`` with ``table`` (unique on ``on``), safe for frequent tokens.
 
-    ``spread_by`` are columns of ``rows`` that identify a row. Missing tokens get nulls.
+    ``spread_by`` are columns of ``rows`` that identify a row. Missing tokens get nulls. ``written`` says that ``table`` is a
+    stored table already and need not be written again.
     """
-    right = materialise(table.select(on, *payload))
+    right = table.select(on, *payload)
+    if not written:
+        right = materialise(right)
     size = F.length(F.to_json(F.struct(on, *payload)))
     if (right.agg(F.sum(size)).first()[0] or 0) <= max_broadcast_bytes:
         return rows.join(F.broadcast(right), on, "left")
@@ -85,7 +89,7 @@ def short_list(vocabulary: DataFrame, limit: int = IN_LIST) -> list[str] | None:
 
 def keep_tokens(
     df: DataFrame, id_col: str, col: str, vocabulary: DataFrame, out: str, weight: str,
-    keep: bool = True, limit: int = IN_LIST,
+    keep: bool = True, limit: int = IN_LIST, written: bool = False,
 ) -> DataFrame:
     """P8 with a vocabulary table ``(tokens, <weight>)``: keep (or drop) its members.
 
@@ -99,7 +103,7 @@ def keep_tokens(
         kept = F.coalesce(F.filter(col, test), F.array().cast(Strings))
         return df.withColumn(out, kept)
     table = vocabulary.select(F.col("tokens").alias("token"), F.col(weight).alias("_weight"))
-    rows = token_lookup(exploded(df, id_col, col), table, "token", ["_weight"], [id_col, "pos"])
+    rows = token_lookup(exploded(df, id_col, col), table, "token", ["_weight"], [id_col, "pos"], written=written)
     rows = rows.where(F.col("_weight").isNotNull() if keep else F.col("_weight").isNull())
     return with_lists(df, id_col, regroup(rows, id_col, ["pos"]), out)
 

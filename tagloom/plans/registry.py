@@ -24,7 +24,7 @@ from tagloom.plans import experiments, grid, suggest
 from tagloom.plans.prepare import body_nodes, processed_questions
 from tagloom.session import materialise, scratch_path
 from tagloom.sources import processed, questions, results
-from tagloom.streaming.suggest import question_stream, suggest_tags_stream
+from tagloom.streaming.suggest import TagTable, question_stream, suggest_tags_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -874,23 +874,24 @@ def direct_match(spark, sf):
 
 
 def suggest_tags(spark, sf):
-    tags = suggest.tag_list(known_tags(spark, sf))
-    return suggest.suggest_tags(texts(spark, sf), STOP_WORDS, tags).select("Id", joined(F.col("tags")).alias("tags"))
+    tags = materialise(known_tags(spark, sf))
+    return suggest.suggest_tags(texts(spark, sf), STOP_WORDS, tags, written=True).select("Id", joined(F.col("tags")).alias("tags"))
 
 
 def suggest_tags_models(spark, sf):
     """All three predictions."""
     run = bow_run(spark, sf, vect="tfidf", loss="squared_error", scaler=False)
     model = topics.fit_topics(topic_rows(spark, sf), "tokens", num_topics=10)
-    tags = suggest.tag_list(known_tags(spark, sf))
+    tags = materialise(known_tags(spark, sf))
     found = suggest.suggest_tags(
-        texts(spark, sf), STOP_WORDS, tags, (run.vectorizer, run.model), model, n_term=3
+        texts(spark, sf), STOP_WORDS, tags, (run.vectorizer, run.model), model, written=True, n_term=3
     )
     return found.select("Id", joined(F.col("tags")).alias("tags"))
 
 
 def suggest_tags_stream_query(spark, sf):
-    tags = suggest.tag_list(known_tags(spark, sf))
+    tags = TagTable(spark, scratch_path(spark, "tags"))
+    tags.publish(known_tags(spark, sf), "titles")
     table = questions.read_table(spark, sf, "documents")
     few = table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
     stream = question_stream(

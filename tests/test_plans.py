@@ -3,14 +3,16 @@ import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as contract
-from tagloom.operators import stats, topics
+from tagloom.operators import membership, stats, topics
 from tagloom.plans import experiments, grid, suggest
 from tagloom.plans.oracles import ORACLES
 from tagloom.plans.prepare import processed_questions
 from tagloom.session import materialise
 from tagloom.sources import processed, questions, results
+from tagloom.streaming.suggest import TagTable, question_stream, suggest_tags_stream
 
 QUERIES, SQL = contract.queries(), ORACLES
 
@@ -142,6 +144,56 @@ def test_suggestions(spark, asked):
     assert set(direct) <= set(both) and len(both) in (2, 3)
 
 
+def test_a_table_of_many_tags_gives_what_a_list_gives(spark, asked, monkeypatch):
+    """200,000 tags by the shuffle, with repeated ids, null ids and empty texts; one token is in every question."""
+    monkeypatch.setattr(membership, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(membership.token_lookup, "__defaults__", (0, 3, False))
+    odd = [(1, None, None, None, 0, 0, 0, 0), (None, "python file", "", None, 0, 0, 0, 0), (1, "parse java", "", None, 0, 0, 0, 0)]
+    rows = materialise(asked.unionByName(spark.createDataFrame(odd, asked.schema)))
+    names = ["file", "java", "python", "haskell"]
+    many = spark.range(200_000).select(F.concat(F.lit("tag"), "id").alias("tokens"))
+    table = materialise(many.union(spark.createDataFrame([(t,) for t in names], "tokens string")).withColumn("doc_freq", F.lit(0.5)))
+    by_table = suggest.suggest_tags(rows, [], table, written=True)
+    by_list = suggest.suggest_tags(rows, [], names)
+    order = lambda df: sorted((repr(r.Id), r.tags) for r in df.collect())
+    assert order(by_table) == order(by_list) and by_table.count() == 63
+    assert suggest.suggest_tags(rows, [], table.limit(0)).where("size(tags) > 0").count() == 0
+
+
+def test_tags_are_refreshed_and_learned_between_batches(spark, tmp_path):
+    """A published tag and learned tags are used by the batches after; a restart repeats nothing."""
+    schema = "Id long, Title string, Body string, Tags array<string>"
+    source, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def learned(batch):
+        return suggest.tag_vocabulary(batch, "Tags")
+
+    def run():
+        stream = question_stream(spark, source, T.StructType.fromDDL(schema), max_files=1)
+        suggest_tags_stream(stream, out, mark, [], table, learn=learned).awaitTermination()
+        return {(r.Id, tuple(r.tags)) for r in spark.read.parquet(out).collect()}, spark.read.parquet(out).count()
+
+    table = TagTable(spark, str(tmp_path / "tags"))
+    assert table.version() == 0 and table.latest().count() == 0
+    arrive((1, "python file", "", ["java"]))
+    assert run() == ({(1, ())}, 1)  # nothing is known before the first batch, which teaches java
+    arrive((2, "python java", "", None), (3, None, None, []))
+    assert run() == ({(1, ()), (2, ("java",)), (3, ())}, 3)
+    before = table.version()
+    assert table.publish(table.latest().union(spark.createDataFrame([("python", 1.0)], "tokens string, doc_freq double")), "by hand") == before + 1
+    assert table.publish(table.latest().limit(0), "by hand") == before + 1  # a source counts once
+    arrive((4, "python java", "", ["java", "file"]))
+    assert run() == ({(1, ()), (2, ("java",)), (3, ()), (4, ("java", "python"))}, 4)
+    assert run()[1] == 4
+    weights = {r.tokens: r.doc_freq for r in table.latest().collect()}
+    assert weights == {"java": 2.0, "python": 1.0, "file": 1.0}
+    assert table.latest(before="by hand").select("tokens").collect() == [("java",)]
+    assert table.latest(before="unknown").count() == 3
+
+
 def test_stream_equals_batch(spark):
     batch = {(r.Id, r.tags) for r in QUERIES["suggest_tags"](spark, SMALL).collect()}
     stream = {(r.Id, r.tags) for r in QUERIES["suggest_tags_stream"](spark, SMALL).collect()}
