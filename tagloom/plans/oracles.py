@@ -582,6 +582,13 @@ SELECT round(avg(t), 6) AS tag_coverage, round(avg(w), 6) AS word_coverage FROM
     ),
     "lda_share_sums": f"""WITH kept AS ({kept_by_doc_freq(*R.BODY_RANGE)})
 SELECT Id, 10 AS topics, tokens <> '' AS words, CASE WHEN tokens <> '' THEN 1.0 ELSE 0.0 END::DOUBLE AS share FROM kept""",
+    "lda_word_mass": f"""WITH {WORDS}
+SELECT token AS word, term_count::DOUBLE AS mass FROM tf
+WHERE doc_freq > CAST('{R.BODY_RANGE[0]}' AS DOUBLE) AND doc_freq < CAST('{R.BODY_RANGE[1]}' AS DOUBLE)""",
+    "lda_document_mass": f"""WITH {WORDS}, known AS (
+  SELECT token FROM tf WHERE doc_freq > CAST('{R.BODY_RANGE[0]}' AS DOUBLE) AND doc_freq < CAST('{R.BODY_RANGE[1]}' AS DOUBLE)
+), sizes AS (SELECT Id, count(*) AS n FROM occ JOIN known USING (token) GROUP BY Id)
+SELECT words.Id, 10 AS topics, coalesce(n, 0)::DOUBLE AS mass FROM words LEFT JOIN sizes ON sizes.Id = words.Id""",
     "topic_selection": f"""WITH {THETA}
 SELECT vec_id, topic, round(CASE WHEN r <= {R.N_TOPIC} THEN share ELSE 0 END, 6) AS by_n,
   round(CASE WHEN share > 0.15::DOUBLE THEN share ELSE 0 END, 6) AS by_p FROM ordered""",

@@ -19,7 +19,7 @@ from tagloom.functions import codelang, html, text
 from tagloom.functions.arrays import unfolded
 from tagloom.functions.lemma import LEXICON, NOUN, VERB
 from tagloom.functions.stopwords import FUNCTION_WORDS, default_stop_words, merge_stop_words
-from tagloom.operators import dictionary, features, labels, linear, membership, relevance, stats, topics, vectors
+from tagloom.operators import dictionary, features, labels, linear, membership, relevance, stats, topics, vectors, word_topics
 from tagloom.plans import experiments, grid, suggest
 from tagloom.plans.prepare import body_nodes, processed_questions
 from tagloom.session import materialise, scratch_path
@@ -696,6 +696,23 @@ def lda_topics(spark, sf):
     return topics.topic_distribution(rows, model).select("Id", F.posexplode(unfolded("topics")).alias("topic", "share"))
 
 
+def lda_word_mass(spark, sf):
+    """The weights of a word beyond its prior: with all documents in one chunk, its occurrences, however the topics share them."""
+    model = word_topics.fit_word_topics(topic_rows(spark, sf), "tokens", num_topics=10, chunk_size=None)
+    words = model.table.join(model.words.table.select("word_id", "token"), "word_id")
+    mass = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x) - F.lit(model.num_topics * model.eta)
+    return words.select(F.col("token").alias("word"), F.round(mass, 3).alias("mass"))
+
+
+def lda_document_mass(spark, sf):
+    """The topic weights of a document beyond their prior: its words, however the topics share them."""
+    rows = topic_rows(spark, sf)
+    model = word_topics.fit_word_topics(rows, "tokens", num_topics=10)
+    weights = model.document_weights(rows, "Id", "tokens")
+    mass = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x) - F.lit(model.num_topics * model.alpha)
+    return weights.select("Id", F.size("weights").alias("topics"), F.round(mass, 6).alias("mass"))
+
+
 def lda_share_sums(spark, sf):
     """Topics and their total share, for every document."""
     rows = topic_rows(spark, sf)
@@ -1003,6 +1020,8 @@ QUERIES: dict[str, Query] = {
     "supervised_bow_rows": supervised_bow_rows,
     "binary_relevance_rows": binary_relevance_rows,
     "lda_share_sums": lda_share_sums,
+    "lda_word_mass": lda_word_mass,
+    "lda_document_mass": lda_document_mass,
     "unsupervised_rows": unsupervised_rows,
     "run_grid_rows": run_grid_rows,
     "lda_fit": lda_fit,
