@@ -62,3 +62,17 @@ def test_stream_reads_a_table_of_several_files(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     assert registry.suggest_tags_stream_query(spark, str(tmp_path)).agg(F.count("*"), F.countDistinct("Id")).first()[:] == (8, 8)
+
+
+def test_equations_come_in_slices_of_the_matrix(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+
+    rnd = [[float((7 * k + 3 * j * j) % 11) for j in range(5)] for k in range(30)]
+    rows = spark.createDataFrame([(x, ["t" if sum(x) > 25 else "u"]) for x in rnd], "v array<double>, kept array<string>")
+    monkeypatch.setattr(registry, "SIDE_ROWS", 2)
+    found = registry.equations(rows.select(array_to_vector("v").alias("x"), "kept"))
+    assert "LogicalRDD" not in found._jdf.queryExecution().optimizedPlan().toString()
+    expected = {
+        (tag, j): sum(x[j] * (1 if ("t" if sum(x) > 25 else "u") == tag else -1) for x in rnd) / 30 for tag in "tu" for j in range(5)
+    }
+    assert {(r.tag, r.dim): pytest.approx(r.side, abs=1e-6) for r in found.collect()} == expected
