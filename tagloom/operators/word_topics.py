@@ -38,6 +38,7 @@ MODEL_BYTES = 64 << 20
 THRESHOLD = 0.001
 GROUP_ENTRIES = 50_000  # words of documents that one task call holds, when the weights are looked up
 FLOOR = 1e-100
+DENSE_CELLS = 16  # cells of documents times words, for each word of a document, up to which a batch is held as a matrix
 _SHIFT = 6
 _SUMS = "word_id int, sums array<double>, about array<double>"
 
@@ -89,20 +90,31 @@ def infer(first, feature, value, matrix, alpha: float, iterations: int) -> tuple
     gamma[sizes == 0] = alpha
     rounds = np.zeros(len(sizes), dtype=np.int64)
     live, row = np.flatnonzero(sizes), np.repeat(np.arange((sizes > 0).sum()), sizes[sizes > 0])
+    words, place = np.unique(feature, return_inverse=True)
+    dense = len(live) * len(words) <= DENSE_CELLS * len(value)
+    if dense:  # documents by the words of the batch: two matrix products a round
+        counts = np.bincount(row * len(words) + place, value, len(live) * len(words)).reshape(len(live), -1)
+        beta = matrix[words]
     for _ in range(iterations):
         if not len(live):
             break
         theta = _shares(gamma[live])
-        sums = np.zeros_like(theta)
-        _added(feature, value, row, theta, matrix, row, sums)
+        if dense:
+            sums = (counts / (theta @ beta.T + FLOOR)) @ beta
+        else:
+            sums = np.zeros_like(theta)
+            _added(feature, value, row, theta, matrix, row, sums)
         made = alpha + theta * sums
         moving = np.abs(made - gamma[live]).mean(axis=1) >= THRESHOLD
         gamma[live] = made
         rounds[live] += 1
         if not moving.all():
-            stay = moving[row]
-            feature, value = feature[stay], value[stay]
-            row = (np.cumsum(moving) - 1)[row[stay]]
+            if dense:
+                counts = counts[moving]
+            else:
+                stay = moving[row]
+                feature, value = feature[stay], value[stay]
+                row = (np.cumsum(moving) - 1)[row[stay]]
             live = live[moving]
     return gamma, rounds
 

@@ -123,3 +123,20 @@ def test_nothing_to_learn(spark):
         assert model.table.count() == 0 and model.topic_terms().count() == 0
         some = spark.createDataFrame([(7, ["new"]), (None, None)], "Id long, tokens array<string>")
         assert {r.topics == [0.5, 0.5] for r in model.topic_distribution(some, "Id", "tokens").collect()} == {True}
+
+
+def test_a_batch_held_as_a_matrix_gives_the_same_weights(monkeypatch):
+    rnd = np.random.default_rng(3)
+    sizes = rnd.integers(0, 30, 50)
+    first = np.r_[0, np.cumsum(sizes)]
+    feature = np.concatenate([rnd.choice(40, n, replace=False) for n in sizes])
+    value, matrix = rnd.integers(1, 5, first[-1]).astype(float), rnd.random((40, 4))
+    met = []
+    added = word_topics._added
+    monkeypatch.setattr(word_topics, "_added", lambda *a: (met.append(1), added(*a)))
+    held = word_topics.infer(first, feature, value, matrix, 0.25, 400)
+    assert not met  # no round went over single words
+    monkeypatch.setattr(word_topics, "DENSE_CELLS", 0)
+    single = word_topics.infer(first, feature, value, matrix, 0.25, 400)
+    np.testing.assert_allclose(held[0], single[0], rtol=1e-9)
+    assert held[1].tolist() == single[1].tolist() and met
