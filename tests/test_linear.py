@@ -109,6 +109,16 @@ def test_wide_models_predict_as_numpy_does(spark, loss):
         assert np.abs(residual).max() < 1e-6
 
 
+def test_products_of_sparse_rows_travel_sparse(sample, monkeypatch):
+    x, y, df, _ = sample
+    monkeypatch.setattr(linear, "WORK_NUMBERS", 7 * x.shape[1])  # seven rows at once
+    table = relevance.gram_rows(df, "x", "tags", CLASSES, x.shape[1])
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(x") == 0 and plan.count("MapInArrow") == 1
+    got = np.array([r["values"] for r in table.orderBy("k").collect()])
+    assert np.allclose(got, np.r_[x.T @ x, y.T @ x])
+
+
 def test_components_of_sparse_rows(sample, monkeypatch):
     x, _, df, blocks = sample
     stats = linear.moments(blocks, x.shape[1])
