@@ -146,3 +146,15 @@ def test_no_rows(spark, sample):
     nulls = df.select("Id", F.when(F.col("Id") > 2, F.col("x")).alias("x"), F.when(F.col("Id") != 4, F.col("tags")).alias("tags"))
     stats = linear.moments(linear.row_blocks(nulls, "x", "tags", CLASSES), 30)
     assert np.allclose(stats.mean, x[3:].sum(axis=0) / len(x))
+
+
+def test_hinge_with_features_of_uneven_sizes_takes_few_passes(spark):
+    """Counts from 1 to many, one feature nearly the sum of others: without the products of the features hundreds of passes."""
+    rng = np.random.default_rng(5)
+    n, width = 300, 40
+    x = rng.poisson(np.geomspace(0.05, 200, width), (n, width)).astype(float)
+    x[:, -1] = x[:, 20:39].sum(axis=1) + rng.poisson(1, n)
+    y = np.where((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9) @ rng.standard_normal((width, 3)) > 0, 1.0, -1.0)
+    blocks = linear.row_blocks(frame(spark, x, y), "x", "tags", CLASSES)
+    _, gaps, passes = linear.solve_hinge(blocks, width, 3, linear.moments(blocks, width, False), 1e-4, 1e-2, most=300)
+    assert (gaps <= 1e-2).all() and passes < 300
