@@ -2,7 +2,7 @@
 
 Spark's trainer goes through all rows in each step to draw its share of them, and infers one document at a time. Here the rows are
 dealt to chunks once, a step reads one chunk, and documents are inferred side by side (``word_topics.infer``). Priors, step sizes and
-the fitted prior of the documents are those of Spark's trainer; inference ends by its threshold alone.
+the fitted prior of the documents are those of Spark's trainer; inference ends by its threshold alone, in a step with leaps.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def fit_online(counts: DataFrame, col: str, num_topics: int, passes: int, chunks
     blocks = [linear.row_blocks(dealt.where(F.col("_chunk") == c), col, numbers=BLOCK_NUMBERS) for c in range(chunks)]
 
     def one(block: linear.Block, sent, out: np.ndarray, rest: np.ndarray) -> None:
-        gamma, _ = infer(block.first, block.feature, block.value, *sent, NO_BOUND)
+        gamma, _ = infer(block.first, block.feature, block.value, *sent, NO_BOUND, leaps=True)
         row = np.repeat(np.arange(block.rows), np.diff(block.first))
         order = np.argsort(block.feature, kind="stable")
         feature = block.feature[order]

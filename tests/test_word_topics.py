@@ -140,3 +140,26 @@ def test_a_batch_held_as_a_matrix_gives_the_same_weights(monkeypatch):
     single = word_topics.infer(first, feature, value, matrix, 0.25, 400)
     np.testing.assert_allclose(held[0], single[0], rtol=1e-9)
     assert held[1].tolist() == single[1].tolist() and met
+
+
+def test_leaps_take_fewer_rounds_to_a_better_bound(monkeypatch):
+    """Documents that creep towards their end."""
+    rnd = np.random.default_rng(5)
+    matrix = word_topics.word_weights(rnd.gamma(2, 1.0, (300, 10)), np.full(10, 600.0))
+    sizes = rnd.integers(0, 120, 200)
+    first = np.r_[0, np.cumsum(sizes)]
+    feature = np.concatenate([rnd.choice(300, n, replace=False) for n in sizes])
+    value = rnd.integers(1, 4, len(feature)).astype(float)
+    docs = first, feature, value, matrix, 0.1, 400
+    (_, bound, many), (_, better, few) = (word_topics.statistics(*docs, np.zeros_like(matrix), leaps=x) for x in (False, True))
+    assert 2 * few < many and better > bound
+    leaped, taken = word_topics.infer(*docs, leaps=True)
+    words = np.bincount(np.repeat(np.arange(200), sizes), value, 200)
+    np.testing.assert_allclose(leaped.sum(axis=1), words + 1)  # all words of a document are shared out
+    alone, rounds = word_topics.infer(np.array([0, sizes[7]]), *(x[first[7] : first[8]] for x in (feature, value)), *docs[3:], leaps=True)
+    np.testing.assert_allclose(alone[0], leaped[7], rtol=1e-6)
+    assert rounds[0] == taken[7]
+    monkeypatch.setattr(word_topics, "DENSE_CELLS", 0)
+    single, rounds = word_topics.infer(*docs, leaps=True)
+    np.testing.assert_allclose(single, leaped, rtol=1e-4)
+    assert rounds.tolist() == taken.tolist()
