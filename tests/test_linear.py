@@ -1,11 +1,13 @@
 """Passes over sparse rows against numpy on the same rows made dense."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tagloom.operators import linear, relevance, vectors
+from tagloom.session import materialise
 
 CLASSES = ["a", "b", "c"]
 
@@ -158,3 +160,30 @@ def test_hinge_with_features_of_uneven_sizes_takes_few_passes(spark):
     blocks = linear.row_blocks(frame(spark, x, y), "x", "tags", CLASSES)
     _, gaps, passes = linear.solve_hinge(blocks, width, 3, linear.moments(blocks, width, False), 1e-4, 1e-2, most=300)
     assert (gaps <= 1e-2).all() and passes < 300
+
+
+def test_blocks_travel_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    """However many blocks a task has, readers and Python hold a bounded part of them."""
+    monkeypatch.setattr(linear, "BATCH_BYTES", 20_000)
+    rows = [(Vectors.sparse(50, range(50), [float(i + j) for j in range(50)]),) for i in range(400)]
+    df = materialise(spark.createDataFrame(rows, ["x"]).coalesce(1))
+    blocks = linear.row_blocks(df, "x", numbers=500)
+    files = [f for f in blocks.inputFiles() if pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows]
+    for file in files:
+        about = pq.ParquetFile(file.removeprefix("file://")).metadata
+        assert max(about.row_group(i).num_rows for i in range(about.num_row_groups)) <= linear.STORED_BLOCKS
+    held, plain = [], linear._blocks
+    folder = str(tmp_path)
+
+    def seen(batch):
+        with open(f"{folder}/held", "a") as f:
+            f.write(f"{batch.nbytes}\n")
+        yield from plain(batch)
+
+    monkeypatch.setattr(linear, "_blocks", seen)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    sums = linear.moments(blocks, 50).mean
+    held = [int(x) for x in (tmp_path / "held").read_text().split()]
+    assert len(held) > 5 and max(held) < 40_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    np.testing.assert_allclose(sums, np.arange(50) + 199.5)
