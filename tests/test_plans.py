@@ -160,6 +160,26 @@ def test_a_table_of_many_tags_gives_what_a_list_gives(spark, asked, monkeypatch)
     assert suggest.suggest_tags(rows, [], table.limit(0)).where("size(tags) > 0").count() == 0
 
 
+def test_tags_are_looked_up_inside_the_row(spark, monkeypatch):
+    """Nothing is shuffled for a table that is sent whole; a longer one gives the same, also for rows that come twice."""
+    docs = [(1, ["x", "rare", "no", "x"]), (1, ["x", "rare", "no", "x"]), (None, ["rare", None, "y"]), (2, []), (3, None), (None, ["no"])]
+    df = materialise(spark.createDataFrame(docs, "Id long, tokens array<string>"))
+    many = spark.range(5000).select(F.concat(F.lit("tag"), "id").alias("tokens"), F.lit(0.1).alias("doc_freq"))
+    named = spark.createDataFrame([("x", 0.9), ("y", 0.8), ("rare", 0.01), (None, 0.7)], "tokens string, doc_freq double")
+    tags = materialise(many.unionByName(named))
+    want = sorted(map(repr, [(1, ["x", "rare", "x"]), (1, ["x", "rare", "x"]), (None, ["rare", "y"]), (2, []), (3, []), (None, [])]))
+
+    def found():
+        rows = suggest.with_known_tags(df, "Id", "tokens", tags, "direct", written=True)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        return sorted(repr((r.Id, r.direct)) for r in rows.collect()), "Exchange" in plan
+
+    assert found() == (want, False)
+    monkeypatch.setattr(suggest, "SENT_BYTES", 0)
+    monkeypatch.setattr(suggest, "SENT_TAGS", 2)
+    assert found() == (want, True)
+
+
 def test_tags_are_refreshed_and_learned_between_batches(spark, tmp_path):
     """A published tag and learned tags are used by the batches after; a restart repeats nothing."""
     schema = "Id long, Title string, Body string, Tags array<string>"
