@@ -1,5 +1,7 @@
 import hashlib
+import math
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +78,28 @@ def test_equations_come_in_slices_of_the_matrix(spark, monkeypatch):
         (tag, j): sum(x[j] * (1 if ("t" if sum(x) > 25 else "u") == tag else -1) for x in rnd) / 30 for tag in "tu" for j in range(5)
     }
     assert {(r.tag, r.dim): pytest.approx(r.side, abs=1e-6) for r in found.collect()} == expected
+
+
+def test_draws_are_heads_of_digests():
+    prefixes = ["", "42|1|2|3|", "42|-7|0|1|", "x" * 40, "42|123456789012345678|19999|20001|", "é" * 20, "y" * 53]
+    for rows in (np.arange(len(prefixes)), np.array([1, 2]), np.array([], dtype=int)):
+        for number in (1, 16, 123):
+            want = [int(hashlib.md5(f"{prefixes[r]}{number}".encode()).hexdigest()[:8], 16) / 2.0**32 for r in rows]
+            assert Draws(pa.array(prefixes)).uniform(rows, number).tolist() == want
+
+
+def test_samples_as_texts(spark):
+    """Ids of any type, also null: the texts are the lists, and the draws those of the text that SQL makes of the id."""
+    rows = [(k // 4 if k % 5 else None, k, k + 1, 2 + k % 3, 3) for k in range(40)]
+    for kind in ("long", "int", "string", "double", "decimal(6,2)"):
+        pairs = spark.createDataFrame(rows, "Id long, pos int, context_pos int, target int, context int")
+        pairs = pairs.withColumn("Id", F.col("Id").cast(kind))
+        names = {r.pos: r.name for r in pairs.select("pos", F.col("Id").cast("string").alias("name")).collect()}
+        lists = {r.pos: r for r in features.negative_samples(pairs, "Id", 4, 4096, 42).collect()}
+        texts = features.negative_samples(pairs, "Id", 4, 4096, 42, joined="|").collect()
+        assert len(texts) == 40 and texts[0].labels == "1|0|0|0|0"
+        for r in texts:
+            assert r.contexts == "|".join(map(str, lists[r.pos].contexts)) and r.labels == "|".join(map(str, lists[r.pos].labels))
+            text = "|".join(x for x in ("42", names[r.pos], str(r.pos), str(r.context_pos), "1") if x is not None)
+            first = math.floor(math.exp(int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 2.0**32 * math.log(4097))) - 1
+            assert lists[r.pos].contexts[1] == first or first == 3
